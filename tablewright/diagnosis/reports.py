@@ -194,11 +194,13 @@ def sql_operators(log: DataFrame) -> DataFrame:
 
 def config_check(properties: DataFrame) -> DataFrame:
     """The settings that matter most, as set or by default, with a verdict."""
-    names = list(SETTING_DEFAULTS)
-    wanted = [F.max(F.when(F.col("name") == n, F.col("value"))).alias(n) for n in names]
-    per_app = properties.groupBy("app").agg(*wanted).unpivot("app", names, "setting", "value")
-    defaults = F.create_map(*[F.lit(x) for pair in SETTING_DEFAULTS.items() for x in pair])
-    value = F.coalesce(F.col("value"), defaults[F.col("setting")])
+    found = [F.max(F.when(F.col("name") == n, F.col("value"))) for n in SETTING_DEFAULTS]
+    settings = [
+        F.struct(F.lit(n).alias("setting"), F.lit(default).alias("default"), value.alias("value"))
+        for (n, default), value in zip(SETTING_DEFAULTS.items(), found)
+    ]
+    per_app = properties.groupBy("app").agg(F.array(*settings).alias("s")).select("app", F.inline("s"))
+    value = F.coalesce(F.col("value"), F.col("default"))
     switch = F.col("setting").endswith(".enabled")
     return per_app.select(
         "app",

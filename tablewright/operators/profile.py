@@ -70,17 +70,16 @@ def profile(
         if c in numeric:
             median = F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy).cast("string")
         return F.struct(
+            F.lit(c).alias("column_name"),
+            F.count(F.lit(1)).alias("row_count"),
             F.count_if(F.col(c).isNull()).alias("nulls"),
             F.approx_count_distinct(c, rsd).alias("ndv"),
             F.min(c).cast("string").alias("min"),
             median.alias("median"),
             F.max(c).cast("string").alias("max"),
-        ).alias(c)
+        )
 
-    one_row = df.agg(F.count(F.lit(1)).alias("__rows"), *[measures(c) for c in cols])
-    return one_row.unpivot("__rows", cols, "column_name", "m").select(
-        "column_name", F.col("__rows").alias("row_count"), "m.*"
-    )
+    return df.agg(F.array(*[measures(c) for c in cols]).alias("columns")).select(F.inline("columns"))
 
 
 def top_values(df: DataFrame, cols: Sequence[str] | None = None, n: int = 20) -> DataFrame:

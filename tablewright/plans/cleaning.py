@@ -168,7 +168,7 @@ def profile_table(t: Tables) -> DataFrame:
 
 @query(
     """SELECT column_name, probability, TRUE AS close FROM (VALUES ('l_quantity'), ('l_extendedprice'), ('l_tax')) c(column_name),
-      (VALUES (0.0), (0.5), (1.0)) p(probability)"""
+      (VALUES (CAST(0 AS DOUBLE)), (CAST(0.5 AS DOUBLE)), (CAST(1 AS DOUBLE))) p(probability)"""
 )
 def quantiles(t: Tables) -> DataFrame:
     """Minimum, median and maximum; the rank each estimate has is checked in one more pass."""

@@ -263,9 +263,9 @@ def cdc_validate(t: Tables) -> DataFrame:
 
 @query(
     f"""WITH {inputs.CDC}, {_history_sql(["name", "city"], [])},
-    middle AS (SELECT max("sequenceNum") // 2 AS at FROM cdc)
+    middle AS (SELECT max("sequenceNum") // 2 AS point FROM cdc)
     SELECT "userId", name, city, "__START_AT", "__END_AT" FROM history, middle
-    WHERE NOT gone AND "__START_AT" <= at AND ("__END_AT" IS NULL OR at < "__END_AT")"""
+    WHERE NOT gone AND "__START_AT" <= point AND ("__END_AT" IS NULL OR point < "__END_AT")"""
 )
 def scd2_as_of(t: Tables) -> DataFrame:
     """The dimension as it was half way through the events."""
