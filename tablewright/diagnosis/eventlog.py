@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -21,21 +21,52 @@ SQL_ADAPTIVE = "org.apache.spark.sql.execution.ui.SparkListenerSQLAdaptiveExecut
 SQL_DRIVER_METRICS = "org.apache.spark.sql.execution.ui.SparkListenerDriverAccumUpdates"
 STREAM_PROGRESS = "org.apache.spark.sql.streaming.StreamingQueryListener$QueryProgressEvent"
 
-_TASK = """
-    `Stage ID` bigint, `Stage Attempt ID` int,
-    `Task End Reason` struct<Reason: string>,
-    `Task Info` struct<
-        `Task ID`: bigint, Index: int, Attempt: int, `Launch Time`: bigint, `Executor ID`: string,
-        Locality: string, Speculative: boolean, `Getting Result Time`: bigint, `Finish Time`: bigint,
-        Failed: boolean, Killed: boolean>,
-    `Task Metrics` struct<
-        `Executor Deserialize Time`: bigint, `Executor Run Time`: bigint, `Executor CPU Time`: bigint,
-        `Peak Execution Memory`: bigint, `JVM GC Time`: bigint, `Result Serialization Time`: bigint,
-        `Memory Bytes Spilled`: bigint, `Disk Bytes Spilled`: bigint,
-        `Shuffle Read Metrics`: struct<`Fetch Wait Time`: bigint, `Remote Bytes Read`: bigint, `Local Bytes Read`: bigint>,
-        `Shuffle Write Metrics`: struct<`Shuffle Bytes Written`: bigint, `Shuffle Write Time`: bigint>,
-        `Input Metrics`: struct<`Bytes Read`: bigint, `Records Read`: bigint>>
-"""
+# Where a task event holds what, and its type.
+_TASK_FIELDS = {
+    "stage_id": ("Stage ID", "bigint"),
+    "stage_attempt": ("Stage Attempt ID", "int"),
+    "reason": ("Task End Reason/Reason", "string"),
+    "task_id": ("Task Info/Task ID", "bigint"),
+    "attempt": ("Task Info/Attempt", "int"),
+    "executor_id": ("Task Info/Executor ID", "string"),
+    "locality": ("Task Info/Locality", "string"),
+    "launch_time": ("Task Info/Launch Time", "bigint"),
+    "finish_time": ("Task Info/Finish Time", "bigint"),
+    "getting_result_at": ("Task Info/Getting Result Time", "bigint"),
+    "failed": ("Task Info/Failed", "boolean"),
+    "killed": ("Task Info/Killed", "boolean"),
+    "deserialize_time": ("Task Metrics/Executor Deserialize Time", "bigint"),
+    "run_time": ("Task Metrics/Executor Run Time", "bigint"),
+    "gc_time": ("Task Metrics/JVM GC Time", "bigint"),
+    "serialize_time": ("Task Metrics/Result Serialization Time", "bigint"),
+    "peak_memory": ("Task Metrics/Peak Execution Memory", "bigint"),
+    "memory_spilled": ("Task Metrics/Memory Bytes Spilled", "bigint"),
+    "disk_spilled": ("Task Metrics/Disk Bytes Spilled", "bigint"),
+    "fetch_wait": ("Task Metrics/Shuffle Read Metrics/Fetch Wait Time", "bigint"),
+    "remote_read": ("Task Metrics/Shuffle Read Metrics/Remote Bytes Read", "bigint"),
+    "local_read": ("Task Metrics/Shuffle Read Metrics/Local Bytes Read", "bigint"),
+    "shuffle_written": ("Task Metrics/Shuffle Write Metrics/Shuffle Bytes Written", "bigint"),
+    "write_nanos": ("Task Metrics/Shuffle Write Metrics/Shuffle Write Time", "bigint"),
+    "input_bytes": ("Task Metrics/Input Metrics/Bytes Read", "bigint"),
+    "input_records": ("Task Metrics/Input Metrics/Records Read", "bigint"),
+}
+# Columns computed from others.
+_TASK_DERIVED = {
+    "shuffle_read": (["remote_read", "local_read"], "remote_read + local_read"),
+    "shuffle_write_time": (["write_nanos"], "write_nanos div 1000000"),
+    "duration": (["launch_time", "finish_time"], "finish_time - launch_time"),
+    "getting_result": (
+        ["getting_result_at", "finish_time"],
+        "if(getting_result_at > 0, finish_time - getting_result_at, 0L)",
+    ),
+    "scheduler_delay": (
+        ["duration", "run_time", "deserialize_time", "serialize_time", "getting_result"],
+        "greatest(duration - run_time - deserialize_time - serialize_time - getting_result, 0L)",
+    ),
+}
+_HELPERS = {"getting_result_at", "remote_read", "local_read", "write_nanos"}
+TASK_COLUMNS = [c for c in [*_TASK_FIELDS, *_TASK_DERIVED] if c not in _HELPERS]
+_NEVER_NULL = {"bigint": "0L", "boolean": "false"}
 
 
 def read_event_log(spark: SparkSession, path: str) -> DataFrame:
@@ -47,61 +78,58 @@ def read_event_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def with_event(lines: DataFrame) -> DataFrame:
-    """Add the event name to a table with ``app`` and ``value``."""
-    return lines.withColumn("event", F.get_json_object("value", "$.Event"))
+    """Add the event name to a table with ``app`` and ``value``.
+
+    Spark writes the name first, so that the rest of the line need not be parsed.
+    """
+    head = F.lit('{"Event":"')
+    name = F.substring_index(F.substring("value", 11, 200), '"', 1)
+    quick = F.when(F.col("value").startswith(head), name)
+    return lines.withColumn("event", quick.otherwise(F.get_json_object("value", "$.Event")))
 
 
 def _of(log: DataFrame, event: str, schema: str) -> DataFrame:
     return log.filter(F.col("event") == event).select("app", F.from_json("value", schema).alias("e"))
 
 
-def tasks(log: DataFrame) -> DataFrame:
-    """One row per finished task attempt. Times in milliseconds, sizes in bytes."""
-    info, metrics = "e.`Task Info`", "e.`Task Metrics`"
-    read, written = f"{metrics}.`Shuffle Read Metrics`", f"{metrics}.`Shuffle Write Metrics`"
-
-    def number(path: str):
-        return F.coalesce(F.col(path), F.lit(0))
-
-    flat = _of(log, TASK_END, _TASK).select(
-        "app",
-        F.col("e.`Stage ID`").alias("stage_id"),
-        F.col("e.`Stage Attempt ID`").alias("stage_attempt"),
-        F.col(f"{info}.`Task ID`").alias("task_id"),
-        F.col(f"{info}.Attempt").alias("attempt"),
-        F.col(f"{info}.`Executor ID`").alias("executor_id"),
-        F.col(f"{info}.Locality").alias("locality"),
-        F.col("e.`Task End Reason`.Reason").alias("reason"),
-        F.coalesce(F.col(f"{info}.Failed"), F.lit(False)).alias("failed"),
-        F.coalesce(F.col(f"{info}.Killed"), F.lit(False)).alias("killed"),
-        F.col(f"{info}.`Launch Time`").alias("launch_time"),
-        F.col(f"{info}.`Finish Time`").alias("finish_time"),
-        number(f"{info}.`Getting Result Time`").alias("getting_result_at"),
-        number(f"{metrics}.`Executor Deserialize Time`").alias("deserialize_time"),
-        number(f"{metrics}.`Executor Run Time`").alias("run_time"),
-        number(f"{metrics}.`JVM GC Time`").alias("gc_time"),
-        number(f"{metrics}.`Result Serialization Time`").alias("serialize_time"),
-        number(f"{metrics}.`Peak Execution Memory`").alias("peak_memory"),
-        number(f"{metrics}.`Memory Bytes Spilled`").alias("memory_spilled"),
-        number(f"{metrics}.`Disk Bytes Spilled`").alias("disk_spilled"),
-        number(f"{read}.`Fetch Wait Time`").alias("fetch_wait"),
-        (number(f"{read}.`Remote Bytes Read`") + number(f"{read}.`Local Bytes Read`")).alias("shuffle_read"),
-        number(f"{written}.`Shuffle Bytes Written`").alias("shuffle_written"),
-        # Spark records this one time in nanoseconds.
-        F.expr(f"coalesce({written}.`Shuffle Write Time`, 0) div 1000000").alias("shuffle_write_time"),
-        number(f"{metrics}.`Input Metrics`.`Bytes Read`").alias("input_bytes"),
-        number(f"{metrics}.`Input Metrics`.`Records Read`").alias("input_records"),
-    )
-    duration = F.col("finish_time") - F.col("launch_time")
-    fetching_result = F.when(
-        F.col("getting_result_at") > 0, F.col("finish_time") - F.col("getting_result_at")
-    ).otherwise(F.lit(0))
-    busy = F.col("run_time") + F.col("deserialize_time") + F.col("serialize_time") + F.col("getting_result")
-    return (
-        flat.withColumns({"duration": duration, "getting_result": fetching_result})
-        .withColumn("scheduler_delay", F.greatest(F.col("duration") - busy, F.lit(0)))
-        .drop("getting_result_at")
-    )
+def _nested(paths: dict[str, str]) -> str:
+    """A struct type as text from slash-separated paths and their types."""
+    groups: dict[str, dict[str, str]] = {}
+    parts = []
+    for path, kind in paths.items():
+        head, _, rest = path.partition("/")
+        if rest:
+            groups.setdefault(head, {})[rest] = kind
+        else:
+            parts.append(f"`{head}`: {kind}")
+    parts += [f"`{head}`: {_nested(inner)}" for head, inner in groups.items()]
+    return f"struct<{', '.join(parts)}>"
+
+
+def tasks(log: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """One row per finished task attempt. Times in milliseconds, sizes in bytes.
+
+    Only the fields behind ``columns`` are parsed out of an event.
+    """
+    wanted = list(columns) if columns is not None else TASK_COLUMNS
+    pending, needed = list(wanted), set()
+    while pending:
+        column = pending.pop()
+        needed.add(column)
+        pending += [c for c in _TASK_DERIVED.get(column, ([], ""))[0] if c not in needed]
+    fields = {c: spec for c, spec in _TASK_FIELDS.items() if c in needed}
+    parsed = _of(log, TASK_END, _nested({path: kind for path, kind in fields.values()}))
+
+    def read(column: str, path: str, kind: str):
+        value = F.col("e." + ".".join(f"`{p}`" for p in path.split("/")))
+        default = _NEVER_NULL.get(kind)
+        return (F.coalesce(value, F.expr(default)) if default else value).alias(column)
+
+    flat = parsed.select("app", *[read(c, path, kind) for c, (path, kind) in fields.items()])
+    for column, (_, text) in _TASK_DERIVED.items():
+        if column in needed:
+            flat = flat.withColumn(column, F.expr(text))
+    return flat.select("app", *wanted)
 
 
 def jobs(log: DataFrame) -> DataFrame:

@@ -79,13 +79,15 @@ def _ordinal(df: DataFrame, column: str) -> Column:
     return F.conv(head, 16, 10).cast("double")
 
 
-def _bucket(value: Column, bounds: list[float]) -> Column:
-    """How many of the sorted bounds the value has reached, by halving."""
-    if not bounds:
-        return F.lit(0)
-    middle = len(bounds) // 2
-    below, above = _bucket(value, bounds[:middle]), _bucket(value, bounds[middle + 1 :])
-    return F.when(value >= F.lit(bounds[middle]), above + (middle + 1)).otherwise(below)
+def _with_bucket(df: DataFrame, name: str, value: Column, bounds: Sequence[float], bits: int) -> DataFrame:
+    """Add the number of sorted bounds a value has reached, below ``2**bits``, by halving."""
+    padded = sorted(set(bounds)) + [math.inf] * ((1 << bits) - len(set(bounds)))
+    steps = F.array(*[F.lit(float(b)) for b in padded])
+    df = df.withColumns({"__value": value, name: F.lit(0)})
+    for bit in reversed(range(bits)):
+        reached = F.col("__value") >= F.get(steps, F.col(name) + (1 << bit) - 1)
+        df = df.withColumn(name, F.col(name) + F.when(reached, F.lit(1 << bit)).otherwise(F.lit(0)))
+    return df.drop("__value")
 
 
 def zorder(df: DataFrame, cols: Sequence[str], files: int, bits: int = 6) -> DataFrame:
@@ -104,11 +106,10 @@ def zorder(df: DataFrame, cols: Sequence[str], files: int, bits: int = 6) -> Dat
     ).first()
     curve = F.lit(0).cast("bigint")
     for position, c in enumerate(cols):
-        bucket = F.coalesce(_bucket(_ordinal(df, c), sorted(set(sketches[c] or []))), F.lit(0)).cast("bigint")
-        bucket_name = F.col(f"__b{position}")
-        df = df.withColumn(f"__b{position}", bucket)
+        bucket = f"__b{position}"
+        df = _with_bucket(df, bucket, _ordinal(df, c), sketches[c] or [], bits)
         for bit in range(bits):
-            taken = F.shiftright(bucket_name, bit).bitwiseAND(F.lit(1))
+            taken = F.shiftright(F.col(bucket).cast("bigint"), bit).bitwiseAND(F.lit(1))
             curve = curve + F.shiftleft(taken, bit * len(cols) + position)
     df = df.withColumn("__z", curve).drop(*[f"__b{i}" for i in range(len(cols))])
     # The last sort key tears large sets of equal rows apart.

@@ -13,9 +13,10 @@ def _number(text: str) -> Column:
     return F.expr(f"CAST({text} AS BIGINT)")
 
 
-def _lines(rows: DataFrame, app, *fields) -> DataFrame:
-    """Rows as event-log lines of an application."""
-    return eventlog.with_event(rows.select(app.alias("app"), F.to_json(F.struct(*fields)).alias("value")))
+def _lines(rows: DataFrame, app: Column, event: str, *fields: Column) -> DataFrame:
+    """Rows as event-log lines of an application: ``app``, ``event``, ``value``."""
+    value = F.to_json(F.struct(F.lit(event).alias("Event"), *fields))
+    return rows.select(app.alias("app"), F.lit(event).alias("event"), value.alias("value"))
 
 
 def task_log(t: Tables) -> DataFrame:
@@ -60,7 +61,7 @@ def task_log(t: Tables) -> DataFrame:
     return _lines(
         t.lineitem,
         F.concat(F.lit("app-"), F.col("l_linestatus")),
-        F.lit(eventlog.TASK_END).alias("Event"),
+        eventlog.TASK_END,
         F.col("l_suppkey").alias("Stage ID"),
         F.lit(0).alias("Stage Attempt ID"),
         F.struct(reason.alias("Reason")).alias("Task End Reason"),
@@ -87,8 +88,8 @@ TASKS = """tasks AS (
   FROM lineitem)"""
 
 
-def tasks(t: Tables) -> DataFrame:
-    return eventlog.tasks(task_log(t))
+def tasks(t: Tables, *columns: str) -> DataFrame:
+    return eventlog.tasks(task_log(t), ["stage_id", "stage_attempt", *columns])
 
 
 @query(
@@ -98,7 +99,7 @@ def tasks(t: Tables) -> DataFrame:
 )
 def log_tasks(t: Tables) -> DataFrame:
     """Finished tasks of all applications as a typed table."""
-    return tasks(t).select(
+    return eventlog.tasks(task_log(t)).select(
         "app", "stage_id", "task_id", "executor_id", "locality", "failed", "killed", "launch_time", "finish_time",
         "duration", "run_time", "deserialize_time", "serialize_time", "scheduler_delay", "gc_time", "fetch_wait",
         "peak_memory", "memory_spilled", "disk_spilled", "shuffle_read", "shuffle_written", "shuffle_write_time",
@@ -114,7 +115,7 @@ def log_tasks(t: Tables) -> DataFrame:
       CASE WHEN max_time / p50 > 5 THEN 'SKEWED' WHEN max_time / p50 > 3 THEN 'WARN' ELSE 'OK' END AS verdict FROM p"""
 )
 def log_stage_skew(t: Tables) -> DataFrame:
-    return reports.stage_skew(tasks(t)).drop("stage_attempt")
+    return reports.stage_skew(tasks(t, "duration")).drop("stage_attempt")
 
 
 @query(
@@ -125,7 +126,7 @@ def log_stage_skew(t: Tables) -> DataFrame:
       CAST(sum(fetch_wait) AS BIGINT) / CAST(sum(duration) AS BIGINT) >= 0.1 AS slow_fetch FROM tasks GROUP BY ALL"""
 )
 def log_shuffle(t: Tables) -> DataFrame:
-    return reports.shuffle_report(tasks(t)).drop("stage_attempt")
+    return reports.shuffle_report(tasks(t, "shuffle_read", "shuffle_written", "shuffle_write_time", "fetch_wait", "duration")).drop("stage_attempt")
 
 
 @query(
@@ -138,7 +139,7 @@ def log_shuffle(t: Tables) -> DataFrame:
 )
 def log_gc(t: Tables) -> DataFrame:
     """Garbage collection by stage and by executor."""
-    rows = tasks(t)
+    rows = tasks(t, "executor_id", "gc_time", "run_time")
 
     def named(report: DataFrame, level: str, name: str) -> DataFrame:
         return report.select(
@@ -157,7 +158,7 @@ def log_gc(t: Tables) -> DataFrame:
       CAST(0 AS DOUBLE) AS result_share, greatest(a, b, c) / d >= 0.05 AS too_high FROM s"""
 )
 def log_overhead(t: Tables) -> DataFrame:
-    return reports.overhead_report(tasks(t)).drop("stage_attempt")
+    return reports.overhead_report(tasks(t, "scheduler_delay", "deserialize_time", "serialize_time", "getting_result", "duration")).drop("stage_attempt")
 
 
 def executor_log(t: Tables) -> DataFrame:
@@ -167,10 +168,10 @@ def executor_log(t: Tables) -> DataFrame:
     number = F.col("l_linenumber").cast("string").alias("Executor ID")
     start = F.unix_millis(F.col("since").cast("timestamp"))
     cores = F.struct(F.lit("host").alias("Host"), F.lit(4).alias("Total Cores")).alias("Executor Info")
-    added = _lines(seen, app, F.lit(eventlog.EXECUTOR_ADDED).alias("Event"), start.alias("Timestamp"), number, cores)
+    added = _lines(seen, app, eventlog.EXECUTOR_ADDED, start.alias("Timestamp"), number, cores)
     lost = seen.filter(F.col("l_linenumber") % 2 == 0)
     removed = _lines(
-        lost, app, F.lit(eventlog.EXECUTOR_REMOVED).alias("Event"), (start + 1000).alias("Timestamp"), number,
+        lost, app, eventlog.EXECUTOR_REMOVED, (start + 1000).alias("Timestamp"), number,
         F.lit("worker lost").alias("Removed Reason"),
     )
     return added.unionByName(removed)
@@ -186,7 +187,7 @@ def executor_log(t: Tables) -> DataFrame:
 )
 def log_failures(t: Tables) -> DataFrame:
     """Failed, killed and repeated tasks, and lost executors."""
-    report = reports.failure_report(tasks(t), eventlog.executors(executor_log(t)))
+    report = reports.failure_report(tasks(t, "failed", "killed", "attempt"), eventlog.executors(executor_log(t)))
     return report.drop("stage_attempt")
 
 
@@ -201,7 +202,7 @@ def log_failures(t: Tables) -> DataFrame:
 )
 def log_utilization(t: Tables) -> DataFrame:
     """Busy milliseconds per executor and minute, and the share of its cores."""
-    used = reports.utilization(tasks(t), eventlog.executors(executor_log(t)))
+    used = reports.utilization(tasks(t, "executor_id", "launch_time", "finish_time"), eventlog.executors(executor_log(t)))
     return used.select("app", "executor_id", "bucket_start", "busy_ms", "busy_share")
 
 
@@ -211,7 +212,7 @@ def log_utilization(t: Tables) -> DataFrame:
       sum(memory_spilled) > 0 OR sum(disk_spilled) > 0 AS spills FROM tasks GROUP BY ALL"""
 )
 def log_spill_memory(t: Tables) -> DataFrame:
-    return reports.spill_report(tasks(t)).drop("stage_attempt")
+    return reports.spill_report(tasks(t, "memory_spilled", "disk_spilled", "peak_memory")).drop("stage_attempt")
 
 
 @query(
@@ -219,7 +220,7 @@ def log_spill_memory(t: Tables) -> DataFrame:
     SELECT *, num_tasks / CAST(sum(num_tasks) OVER (PARTITION BY app) AS BIGINT) AS share FROM c"""
 )
 def log_locality(t: Tables) -> DataFrame:
-    return reports.locality_report(tasks(t))
+    return reports.locality_report(tasks(t, "locality"))
 
 
 @query(
@@ -229,7 +230,7 @@ def log_locality(t: Tables) -> DataFrame:
     FROM tasks GROUP BY app, executor_id"""
 )
 def log_executor_balance(t: Tables) -> DataFrame:
-    return reports.executor_balance(tasks(t)).withColumn("to_average", F.round("to_average", 6))
+    return reports.executor_balance(tasks(t, "executor_id", "input_bytes", "shuffle_read", "shuffle_written")).withColumn("to_average", F.round("to_average", 6))
 
 
 def job_log(t: Tables) -> DataFrame:
@@ -240,7 +241,7 @@ def job_log(t: Tables) -> DataFrame:
     started = _lines(
         t.orders,
         app,
-        F.lit(eventlog.JOB_START).alias("Event"),
+        eventlog.JOB_START,
         F.col("o_orderkey").alias("Job ID"),
         start.alias("Submission Time"),
         ids.alias("Stage IDs"),
@@ -250,7 +251,7 @@ def job_log(t: Tables) -> DataFrame:
     ended = _lines(
         t.orders,
         app,
-        F.lit(eventlog.JOB_END).alias("Event"),
+        eventlog.JOB_END,
         F.col("o_orderkey").alias("Job ID"),
         (start + F.size(ids) * 1000).alias("Completion Time"),
         F.struct(result.alias("Result")).alias("Job Result"),
@@ -288,7 +289,7 @@ def sql_log(t: Tables) -> DataFrame:
     started = _lines(
         plans,
         app,
-        F.lit(eventlog.SQL_START).alias("Event"),
+        eventlog.SQL_START,
         key.alias("executionId"),
         node("Sort", "sort time", "timing", key * 2 + 1, "leaf").alias("sparkPlanInfo"),
     )
@@ -301,7 +302,7 @@ def sql_log(t: Tables) -> DataFrame:
     ended = _lines(
         lines,
         app,
-        F.lit(eventlog.TASK_END).alias("Event"),
+        eventlog.TASK_END,
         F.col("l_suppkey").alias("Stage ID"),
         F.struct(accumulated.alias("Accumulables")).alias("Task Info"),
     )
@@ -342,7 +343,7 @@ def log_config_check(t: Tables) -> DataFrame:
     log = _lines(
         t.customer,
         F.concat(F.lit("app-"), F.col("c_custkey").cast("string")),
-        F.lit(eventlog.ENVIRONMENT).alias("Event"),
+        eventlog.ENVIRONMENT,
         settings.alias("Spark Properties"),
     )
     return reports.config_check(eventlog.properties(log))
@@ -362,7 +363,7 @@ def log_stream_progress(t: Tables) -> DataFrame:
         F.create_map(F.lit("triggerExecution"), F.col("user_id") + F.col("event_id") % 1000).alias("durationMs"),
     )
     app = F.concat(F.lit("app-"), F.col("event_type"))
-    log = _lines(t.events, app, F.lit(eventlog.STREAM_PROGRESS).alias("Event"), progress.alias("progress"))
+    log = _lines(t.events, app, eventlog.STREAM_PROGRESS, progress.alias("progress"))
     return reports.stream_health(eventlog.stream_progress(log))
 
 
@@ -388,5 +389,5 @@ def log_stream_progress(t: Tables) -> DataFrame:
 )
 def log_triage(t: Tables) -> DataFrame:
     """Findings ranked by the task time they concern."""
-    ranked = reports.triage(tasks(t))
+    ranked = reports.triage(tasks(t, "duration", "memory_spilled", "disk_spilled", "failed", "fetch_wait", "gc_time", "run_time", "scheduler_delay", "deserialize_time", "serialize_time"))
     return ranked.select("app", "stage_id", "task_time", "cause", F.round("severity", 6).alias("severity"), "position")
