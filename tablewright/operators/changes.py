@@ -149,12 +149,11 @@ def advance_mark(mark: DataFrame, name: str, processed: DataFrame) -> DataFrame:
 
     Without new changes that version is NULL and the mark stays where it is.
     """
-    previous = mark.filter(F.col("table_name") == name).agg(F.max("processed_version")).scalar()
-    reached = processed.toDF("processed_version").select(
-        F.lit(name).alias("table_name"),
-        F.coalesce(F.col("processed_version"), previous).cast("bigint").alias("processed_version"),
-    )
-    return merge(mark, reached.filter(F.col("processed_version").isNotNull()), on=["table_name"])
+    own = F.col("table_name").eqNullSafe(F.lit(name))
+    seen = mark.filter(own).select("processed_version").union(processed)
+    reached = seen.agg(F.max("processed_version").cast("bigint").alias("processed_version"))
+    reached = reached.filter(F.col("processed_version").isNotNull())
+    return mark.filter(~own).unionByName(reached.select(F.lit(name).alias("table_name"), "processed_version"))
 
 
 def apply_change_feed(

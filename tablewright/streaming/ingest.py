@@ -57,22 +57,22 @@ def parse_json_lines(lines: DataFrame, schema: T.StructType, rescued: str = RESC
 
     values = F.struct(*[typed(f).alias(f.name) for f in schema.fields], F.lit(0).alias("__"))
     rows = lines.select(
-        "value", values.alias("v"), F.from_json("value", "map<string,string>", {"mode": "PERMISSIVE"}).alias("raw"),
-        parsed.isNotNull().alias("valid"),
+        "value", values.alias("__v"), F.from_json("value", "map<string,string>", {"mode": "PERMISSIVE"}).alias("__raw"),
+        parsed.isNotNull().alias("__valid"),
     )
     if schema.fields:
         read = F.map_from_arrays(
             F.array(*[F.lit(f.name) for f in schema.fields]),
-            F.array(*[F.col(f"v.`{f.name}`").isNotNull() for f in schema.fields]),
+            F.array(*[F.col(f"__v.`{f.name}`").isNotNull() for f in schema.fields]),
         )
         left_over = F.map_filter(
-            "raw", lambda k, x: x.isNotNull() & ~F.coalesce(F.try_element_at(read, k), F.lit(False))
+            "__raw", lambda k, x: x.isNotNull() & ~F.coalesce(F.try_element_at(read, k), F.lit(False))
         )
     else:
-        left_over = F.map_filter("raw", lambda k, x: x.isNotNull())
-    whole_line = ~F.col("valid") | F.col("raw").isNull()
+        left_over = F.map_filter("__raw", lambda k, x: x.isNotNull())
+    whole_line = ~F.col("__valid") | F.col("__raw").isNull()
     rest = F.when(whole_line, F.col("value")).when(F.size(left_over) > 0, F.to_json(left_over))
-    return rows.select(*[F.col(f"v.`{f.name}`").alias(f.name) for f in schema.fields], rest.alias(rescued))
+    return rows.select(*[F.col(f"__v.`{f.name}`").alias(f.name) for f in schema.fields], rest.alias(rescued))
 
 
 def stored_schema(spark: SparkSession, schema_dir: str, before: int | None = None) -> T.StructType | None:

@@ -74,3 +74,9 @@ def test_delete_and_update_with_unknown_predicates(spark, target):
 def test_update_sees_old_values(spark):
     df = spark.createDataFrame([(1, 2)], "a int, b int")
     assert rows(update_where(df, "true", {"a": "b", "b": "a"})) == [(2, 1)]
+
+
+def test_columns_named_like_the_sides(spark):
+    target = spark.createDataFrame([(1, "a", 1)], "t int, s string, `a b` int")
+    source = spark.createDataFrame([(1, "b", 2), (2, "c", 3)], "t int, s string, `a b` int")
+    assert rows(merge(target, source, ["t"])) == [(1, "b", 2), (2, "c", 3)]
