@@ -83,12 +83,11 @@ def merge(
     lookup = (
         source.filter(_all_not_null(keys))
         .groupBy(*keys)
-        .agg(F.first(F.struct(*source.columns)).alias(_SOURCE), F.count(F.lit(1)).alias(_COPIES))
+        .agg(F.first(F.struct(*[F.col(f"`{c}`") for c in source.columns])).alias(_SOURCE), F.count(F.lit(1)).alias(_COPIES))
     )
     lookup = lookup.select(*[F.col(k).alias(f"__key_{k}") for k in keys], _SOURCE, _COPIES)
-    joined = target.alias("t").join(lookup, [F.col(f"t.{k}") == F.col(f"__key_{k}") for k in keys], "left")
-    joined = joined.select("t.*", F.col(_SOURCE).alias("s"), _COPIES)
-    joined = joined.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("t"), "s", _COPIES)
+    joined = target.alias("t").join(lookup, [F.col(f"t.`{k}`") == F.col(f"`__key_{k}`") for k in keys], "left")
+    joined = joined.select(F.struct(*[F.col(f"t.`{c}`") for c in columns]).alias("t"), F.col(_SOURCE).alias("s"), _COPIES)
 
     is_match = F.col(_COPIES).isNotNull()
     unique = F.when(
@@ -138,7 +137,7 @@ def merge(
         .join(source.select(*keys).distinct(), keys, "left_semi")
         .distinct()
     )
-    fresh = source.alias("s").join(shared.alias("k"), [F.col(f"s.{k}") == F.col(f"k.{k}") for k in keys], "left_anti")
+    fresh = source.alias("s").join(shared.alias("k"), [F.col(f"s.`{k}`") == F.col(f"k.`{k}`") for k in keys], "left_anti")
     insert_clause = F.lit(None).cast("int")
     for index, (condition, _) in reversed(list(enumerate(not_matched))):
         insert_clause = F.when(holds(condition), F.lit(index)).otherwise(insert_clause)

@@ -36,8 +36,12 @@ def _storable(kind: T.DataType) -> T.DataType:
 
 
 def infer_fields(lines: DataFrame) -> T.StructType:
-    """Fields and types of JSON lines, by one aggregation whose result is the schema text."""
-    found = lines.select(F.schema_of_variant_agg(F.try_parse_json("value"))).first()[0]
+    """Fields and types of JSON lines, by one aggregation whose result is the schema text.
+
+    Lines that hold something else than an object say nothing about fields.
+    """
+    objects = lines.filter(F.col("value").rlike(r"^\s*\{"))
+    found = objects.select(F.schema_of_variant_agg(F.try_parse_json("value"))).first()[0]
     if not found or not found.startswith("OBJECT<") or found == "OBJECT<>":
         return T.StructType([])
     return _storable(T.StructType.fromDDL(f"root {found.replace('OBJECT<', 'STRUCT<')}")["root"].dataType)
