@@ -16,7 +16,6 @@ MatchedClause = tuple["Column | str | None", "Assignments | str"]
 InsertClause = tuple["Column | str | None", "Assignments | str"]
 
 _SOURCE = "__source"
-_COPIES = "__copies"
 
 
 def delete_where(df: DataFrame, predicate: Column | str) -> DataFrame:
@@ -62,37 +61,47 @@ def merge(
     unmatched source row without one is left out. NULL keys never match. Two source rows
     for one target row are an error, raised when the result is computed.
 
-    The plan is a left join that looks target rows up in the source, united with the
-    source rows whose key the target lacks. Unlike a full outer join it need not shuffle
-    the target when the source is small, and adaptive execution can split a key that
-    holds much of the target.
+    Target rows look their source row up in a left join, which Spark broadcasts when the
+    source is small and in which it can split a key that holds much of the target; a full
+    outer join could do neither. Source rows whose key the target lacks are added.
     """
     keys = list(on)
     if evolve:
         extra = [(n, t) for n, t in source.dtypes if n not in set(target.columns)]
         target = target.select("*", *[F.lit(None).cast(t).alias(n) for n, t in extra])
     columns = target.columns
-    types = dict(target.dtypes)
-    source_columns = set(source.columns)
-
-    def value(assignment: Column | str, column: str) -> Column:
-        return as_column(assignment).cast(types[column])
-
-    # One row per source key, with the number of copies; combined on the map side, and
-    # already partitioned for the join below.
-    lookup = (
-        source.filter(_all_not_null(keys))
-        .groupBy(*keys)
-        .agg(F.first(F.struct(*[F.col(f"`{c}`") for c in source.columns])).alias(_SOURCE), F.count(F.lit(1)).alias(_COPIES))
-    )
-    lookup = lookup.select(*[F.col(k).alias(f"__key_{k}") for k in keys], _SOURCE, _COPIES)
-    joined = target.alias("t").join(lookup, [F.col(f"t.`{k}`") == F.col(f"`__key_{k}`") for k in keys], "left")
-    joined = joined.select(F.struct(*[F.col(f"t.`{c}`") for c in columns]).alias("t"), F.col(_SOURCE).alias("s"), _COPIES)
+    if matched:
+        lookup = source.select(*[F.col(f"`{k}`").alias(f"__key_{k}") for k in keys], _row(source).alias(_SOURCE))
+        joined = target.alias("t").join(lookup, [F.col(f"t.`{k}`") == F.col(f"`__key_{k}`") for k in keys], "left")
+        joined = joined.select(F.struct(*[F.col(f"t.`{c}`") for c in columns]).alias("t"), F.col(_SOURCE).alias("s"))
+        kept = _after_match(joined, target, source, keys, matched)
+    else:
+        kept = target
+    if not not_matched:
+        return kept
+    return kept.unionByName(_inserts(target, source, keys, not_matched))
+
+
+def _row(df: DataFrame) -> Column:
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
 
-    is_match = F.col(_COPIES).isNotNull()
+
+def _clashes(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Column:
+    """One value: are there (1) or are there not (0) several source rows for a target key?"""
+    repeated = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    hit = repeated.join(target.select(*keys), list(keys), "left_semi").limit(1)
+    return hit.agg(F.count(F.lit(1))).scalar()
+
+
+def _after_match(
+    joined: DataFrame, target: DataFrame, source: DataFrame, keys: Sequence[str], matched: Sequence[MatchedClause]
+) -> DataFrame:
+    columns, types, source_columns = target.columns, dict(target.dtypes), set(source.columns)
     unique = F.when(
-        F.col(_COPIES) > 1, F.raise_error("merge: several source rows match one target row").cast("int")
+        _clashes(target, source, keys) > 0,
+        F.raise_error("merge: several source rows match one target row").cast("int"),
     )
+    is_match = F.col("s").isNotNull()
     clause = F.when(~is_match, F.lit(-1))
     for index, (condition, _) in enumerate(matched):
         clause = clause.when(holds(condition), F.lit(index))
@@ -115,7 +124,7 @@ def merge(
                     continue
                 new = F.col(f"s.`{column}`").cast(types[column])
             elif column in action:
-                new = value(action[column], column)
+                new = as_column(action[column]).cast(types[column])
             else:
                 continue
             chosen = F.col("__clause") == index
@@ -127,38 +136,37 @@ def merge(
             return F.when(F.col("__clause") >= -1, old).alias(column) if column in keys else old.alias(column)
         return result.otherwise(old).alias(column)
 
-    kept = outcome.select(*[after_update(c) for c in columns])
-    if not not_matched:
-        return kept
+    return outcome.select(*[after_update(c) for c in columns])
 
-    # Keys the target shares with the source; small when the source is small.
-    shared = (
-        target.select(*keys)
-        .join(source.select(*keys).distinct(), keys, "left_semi")
-        .distinct()
-    )
-    fresh = source.alias("s").join(shared.alias("k"), [F.col(f"s.`{k}`") == F.col(f"k.`{k}`") for k in keys], "left_anti")
-    insert_clause = F.lit(None).cast("int")
+
+def _inserts(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], not_matched: Sequence[InsertClause]
+) -> DataFrame:
+    columns, types, source_columns = target.columns, dict(target.dtypes), set(source.columns)
+    # Keys both sides have. With a small source Spark filters the target by it before the
+    # distinct, otherwise the distinct is combined on the map side before any shuffle.
+    shared = target.select(*keys).distinct().join(source.select(*keys), list(keys), "left_semi")
+    complete = F.lit(True)
+    for key in keys:
+        complete = complete & F.col(f"`{key}`").isNotNull()
+    # Rows without a key match nothing; joining them would gather them in one task.
+    known = source.filter(complete).alias("s")
+    fresh = known.join(shared.alias("k"), [F.col(f"s.`{k}`") == F.col(f"k.`{k}`") for k in keys], "left_anti")
+    fresh = fresh.select(_row(source).alias("s")).unionByName(source.filter(~complete).select(_row(source).alias("s")))
+
+    clause = F.lit(None).cast("int")
     for index, (condition, _) in reversed(list(enumerate(not_matched))):
-        insert_clause = F.when(holds(condition), F.lit(index)).otherwise(insert_clause)
-    fresh = fresh.withColumn("__clause", insert_clause).filter(F.col("__clause").isNotNull())
+        clause = F.when(holds(condition), F.lit(index)).otherwise(clause)
+    fresh = fresh.withColumn("__clause", clause).filter(F.col("__clause").isNotNull())
 
     def inserted(column: str) -> Column:
         result = F.lit(None).cast(types[column])
         for index, (_, action) in enumerate(not_matched):
             if isinstance(action, str):
                 new = F.col(f"s.`{column}`") if column in source_columns else F.lit(None)
-                new = new.cast(types[column])
             else:
-                new = value(action[column], column) if column in action else F.lit(None).cast(types[column])
-            result = F.when(F.col("__clause") == index, new).otherwise(result)
+                new = as_column(action[column]) if column in action else F.lit(None)
+            result = F.when(F.col("__clause") == index, new.cast(types[column])).otherwise(result)
         return result.alias(column)
 
-    return kept.unionByName(fresh.select(*[inserted(c) for c in columns]))
-
-
-def _all_not_null(keys: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & F.col(key).isNotNull()
-    return condition
+    return fresh.select(*[inserted(c) for c in columns])

@@ -32,19 +32,23 @@ def scd2_hash(
     closed = dim.filter(~F.coalesce(F.col(IS_CURRENT), F.lit(False)))
     current = dim.filter(F.col(IS_CURRENT))
 
-    staged = staging.groupBy(*keys).agg(
-        F.first(F.struct(*attrs, row_hash(*keys, *attrs).alias(HASH))).alias("s"),
-        F.count(F.lit(1)).alias("copies"),
+    # Open rows and staged rows meet in one aggregation by key: a single shuffle.
+    old = current.select(*keys, F.struct(*dim.columns).alias("t"))
+    fresh = staging.select(*keys, F.struct(*attrs, row_hash(*keys, *attrs).alias(HASH)).alias("s"))
+    pairs = (
+        old.unionByName(fresh, allowMissingColumns=True)
+        .groupBy(*keys)
+        .agg(
+            F.first("t", ignorenulls=True).alias("t"),
+            F.first("s", ignorenulls=True).alias("s"),
+            F.count("t").alias("open_rows"),
+            F.count("s").alias("copies"),
+        )
     )
     once = F.when(
         F.col("copies") > 1, F.raise_error("scd2_hash: a key occurs twice in staging").cast("boolean")
-    ).otherwise(F.lit(True))
-    staged = staged.filter(once).select(*[F.col(k).alias(f"__{k}") for k in keys], "s")
-    same = F.lit(True)
-    for key in keys:
-        same = same & F.col(key).eqNullSafe(F.col(f"__{key}"))
-    open_rows = current.select(*keys, F.struct(*dim.columns).alias("t"))
-    pairs = open_rows.join(staged, same, "full_outer")
+    ).when(F.col("open_rows") > 1, F.raise_error("scd2_hash: a key has two open rows").cast("boolean"))
+    pairs = pairs.filter(once.otherwise(F.lit(True))).select(*keys, "t", "s")
 
     differs = F.col("t").isNotNull() & F.col("s").isNotNull() & ~F.col(f"t.{HASH}").eqNullSafe(F.col(f"s.{HASH}"))
     appears = F.col("t").isNull()
@@ -60,7 +64,7 @@ def scd2_hash(
 
     def new_row(column: str):
         if column in keys:
-            value = F.col(f"__{column}")
+            value = F.col(column)
         elif column in attrs or column == HASH:
             value = F.col(f"s.`{column}`")
         else:
