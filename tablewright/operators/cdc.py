@@ -11,14 +11,13 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tablewright.functions.columns import holds
+from tablewright.operators.joins import touched_rows
 from tablewright.operators.ordered import OrderedGroups, latest
 
 # The validity columns of a history table.
 START = "__START_AT"
 END = "__END_AT"
 
-Sequencing = "str | Sequence[str]"
-
 
 def _parts(sequence: str | Sequence[str]) -> list[str]:
     return [sequence] if isinstance(sequence, str) else list(sequence)
@@ -178,10 +177,8 @@ def cdc_refresh(
     rebuild: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
     """``target`` with the keys of ``batch`` rebuilt from the log, which already holds the batch."""
-    touched = batch.select(*keys).distinct()
-    rebuilt = rebuild(log.join(touched, list(keys), "left_semi"))
-    untouched = target.join(touched, list(keys), "left_anti")
-    return untouched.unionByName(rebuilt)
+    rebuilt = rebuild(touched_rows(log, batch, keys))
+    return touched_rows(target, batch, keys, "left_anti").unionByName(rebuilt)
 
 
 def cdc_validate(

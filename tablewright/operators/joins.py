@@ -29,11 +29,17 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(size.cast("bigint")), F.lit(0))).first()[0]
 
 
+def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Is the table small enough to be replicated? Row counts of Parquet files cost next to nothing."""
+    least = 16 * (1 + len(df.columns))
+    return df.count() * least <= max_bytes and measured_bytes(df) <= max_bytes
+
+
 def broadcast_join(
     left: DataFrame, right: DataFrame, on, how: str = "inner", max_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Replicate the right side if it measures at most ``max_bytes``, else join by shuffle."""
-    if measured_bytes(right) <= max_bytes:
+    if fits_broadcast(right, max_bytes):
         right = F.broadcast(right)
     return left.join(right, on, how)
 
@@ -72,15 +78,15 @@ def salted_join(
     salts: int = 8,
     spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """An inner or left join in which the hot keys of the left side are split.
+    """An inner, left, left semi or left anti join that splits the hot keys of the left side.
 
     ``hot`` lists the keys or gives the share of rows that makes a key hot. Only rows of
     the right side with a hot key are repeated, once per salt. NULL keys, which find no
     partner, are spread as well. Salts come from the left columns, or from ``spread_by``
     where reading all of them only for this would be a waste.
     """
-    if how not in ("inner", "left"):
-        raise ValueError("salted_join does inner and left joins")
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"salted_join cannot do {how!r} joins")
     keys = list(on)
     if isinstance(hot, float):
         hot = heavy_keys(left, keys, hot)
@@ -99,6 +105,12 @@ def salted_join(
     return salted_left.join(salted_right, [*keys, _SALT], how).drop(_SALT)
 
 
-def touched_rows(df: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` whose key occurs in the batch."""
-    return df.join(batch.select(*keys).distinct(), list(keys), "left_semi")
+def touched_rows(df: DataFrame, batch: DataFrame, keys: Sequence[str], how: str = "left_semi") -> DataFrame:
+    """Rows of ``df`` whose key occurs in the batch, or with ``left_anti`` all the others.
+
+    The keys of a small batch are replicated, so that ``df`` is not shuffled at all.
+    """
+    touched = batch.select(*keys).distinct()
+    if fits_broadcast(touched):
+        return df.join(F.broadcast(touched), list(keys), how)
+    return salted_join(df, touched, keys, how)

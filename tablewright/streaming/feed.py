@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from tablewright.operators.changes import CHANGE_TYPE, INSERT, VERSION
+from tablewright.operators.joins import touched_rows
 
 
 def stream_table(
@@ -42,14 +43,8 @@ def inserts_only(path: str, write: Callable[[DataFrame, int], None]) -> Callable
 
     def filtered(batch: DataFrame, batch_id: int) -> None:
         log = batch.sparkSession.read.parquet(path)
-        present = batch.select(VERSION).distinct()
-        changing = (
-            log.filter(F.col(CHANGE_TYPE) != INSERT)
-            .select(VERSION)
-            .join(present, [VERSION], "left_semi")
-            .distinct()
-        )
-        write(batch.join(changing, [VERSION], "left_anti"), batch_id)
+        changing = touched_rows(log.filter(F.col(CHANGE_TYPE) != INSERT).select(VERSION), batch, [VERSION])
+        write(touched_rows(batch, changing, [VERSION], "left_anti"), batch_id)
 
     return filtered
 

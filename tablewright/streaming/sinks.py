@@ -12,6 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tablewright.operators.joins import touched_rows
 from tablewright.operators.ordered import latest
 
 BATCH = "batch_id"
@@ -94,8 +95,7 @@ def cdc_sink(
             return
         candidates = log.filter(F.col(_BUCKET).isin(buckets)).drop(_BUCKET, BATCH)
         mine = spark.read.parquet(f"{path}/touched/{BATCH}={batch_id}")
-        events = candidates.join(mine, list(keys), "left_semi")
-        rebuild(events).write.mode("overwrite").parquet(f"{path}/rows/{BATCH}={batch_id}")
+        rebuild(touched_rows(candidates, mine, keys)).write.mode("overwrite").parquet(f"{path}/rows/{BATCH}={batch_id}")
 
     return write
 
@@ -103,4 +103,4 @@ def cdc_sink(
 def read_cdc(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
     """The maintained table: of each key the rows written by the last batch that touched it."""
     last = spark.read.parquet(f"{path}/touched").groupBy(*keys).agg(F.max(BATCH).alias(BATCH))
-    return spark.read.parquet(f"{path}/rows").join(last, [*keys, BATCH], "left_semi").drop(BATCH)
+    return touched_rows(spark.read.parquet(f"{path}/rows"), last, [*keys, BATCH]).drop(BATCH)

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablewright.operators.aggregates import two_phase_agg
-from tablewright.operators.joins import broadcast_join, heavy_keys, measured_bytes, salted_join
+from tablewright.operators.joins import broadcast_join, heavy_keys, measured_bytes, salted_join, touched_rows
 
 
 @pytest.fixture(scope="module")
@@ -13,7 +13,7 @@ def sides(spark):
     return left, right.unionByName(right.filter("k < 5"))
 
 
-@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 @pytest.mark.parametrize("hot", [0.05, [0], []])
 def test_salted_join_is_a_join(sides, how, hot):
     left, right = sides
@@ -53,3 +53,13 @@ def test_two_phases_give_the_plain_result(sides):
     measures = {"total": ("sum", "l"), "n": ("count", "l"), "low": ("min", "l"), "high": ("max", "l")}
     expected = left.groupBy("k").agg(F.sum("l"), F.count("l"), F.min("l"), F.max("l"))
     assert two_phase_agg(left, ["k"], measures).exceptAll(expected).count() == 0
+
+
+@pytest.mark.parametrize("how", ["left_semi", "left_anti"])
+def test_touched_rows_small_or_large(sides, how, monkeypatch):
+    left, right = sides
+    expected = left.join(right, "k", how)
+    for fits in (True, False):
+        monkeypatch.setattr("tablewright.operators.joins.fits_broadcast", lambda df: fits)
+        found = touched_rows(left, right, ["k"], how)
+        assert found.exceptAll(expected).count() == 0 and expected.exceptAll(found).count() == 0
