@@ -62,6 +62,11 @@ def row_fingerprint(columns: list[str]) -> Column:
     return F.xxhash64(*[F.col(c) for c in columns])
 
 
+def hashable(df) -> list[str]:
+    """The columns a hash can be taken of; maps and variants have no defined order."""
+    return [name for name, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+
+
 def spread(columns: list[str], ways: int) -> Column:
     """A bucket in ``[0, ways)`` that also separates identical rows.
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
-from tablewright.functions.columns import spread
+from tablewright.functions.columns import hashable, spread
 
 # Fixed value: the session default for automatic broadcast.
 BROADCAST_BYTES = 10 * 1024 * 1024
@@ -45,14 +45,14 @@ def broadcast_join(
 
 
 def heavy_keys(df: DataFrame, keys: Sequence[str], share: float) -> list:
-    """Keys that hold at least ``share`` of the rows, seen in a sample: at most 2/share."""
+    """Keys that hold at least ``share`` of the rows of a sample, of which there are at most 1/share."""
     total = df.count()
     sample = df.select(*keys)
     if total > _SAMPLE_ROWS:
         sample = sample.sample(False, _SAMPLE_ROWS / total, 7)
     counted = sample.groupBy(*keys).count()
     drawn = min(total, _SAMPLE_ROWS)
-    return counted.filter(F.col("count") >= max(1.0, share * drawn)).drop("count").limit(int(2 / share)).collect()
+    return counted.filter(F.col("count") >= max(1.0, share * drawn)).drop("count").collect()
 
 
 def _is_one_of(keys: Sequence[str], rows: Sequence) -> Column:
@@ -96,7 +96,7 @@ def salted_join(
     for key in keys:
         absent = absent | F.col(key).isNull()
     salted_left = left.withColumn(
-        _SALT, F.when(hot_row | absent, spread(list(spread_by or left.columns), salts)).otherwise(F.lit(0))
+        _SALT, F.when(hot_row | absent, spread(list(spread_by or hashable(left)), salts)).otherwise(F.lit(0))
     )
     all_salts = F.array(*[F.lit(i) for i in range(salts)])
     salted_right = right.withColumn(

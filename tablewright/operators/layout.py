@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from tablewright.functions.columns import as_column, safe_divide, spread
+from tablewright.functions.columns import as_column, hashable, safe_divide, spread
 from tablewright.sources.tables import list_files
 
 # Target file size, small-file alarm, and the most columns worth interleaving.
@@ -54,7 +54,7 @@ def compact(
         df, sizes = df.filter(condition), sizes.filter(condition)
     counts = sizes.groupBy(*by).agg(F.ceil(F.sum("length") / F.lit(target_bytes)).cast("int").alias("__files"))
     wanted = counts.agg(F.coalesce(F.sum("__files"), F.lit(1))).first()[0]
-    spread_rows = df.withColumn("__slot", spread([c for c in df.columns if c not in by], 1 << 16))
+    spread_rows = df.withColumn("__slot", spread([c for c in hashable(df) if c not in by], 1 << 16))
     same = [F.col(f"d.{c}").eqNullSafe(F.col(f"c.{c}")) for c in by]
     sized = spread_rows.alias("d").join(counts.alias("c"), same, "left").select("d.*", "c.__files")
     slot = F.col("__slot") % F.coalesce("__files", F.lit(1))

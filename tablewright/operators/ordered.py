@@ -12,7 +12,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
+from tablewright.session import materialize
+
 SLICE = "__slice"
+_TASK = "__task"
 _SAMPLE_ROWS = 200_000
 
 
@@ -33,7 +36,11 @@ class OrderedGroups:
 
     A name in ``order`` with a leading minus sorts descending. ``parts`` bounds both the
     number of outsized groups and the share of the table one slice holds; tables of at
-    most ``min_rows`` rows per part are never sliced.
+    most ``min_rows`` rows are never sliced.
+
+    Rows that agree in keys and order cannot be told apart by a cut. With ``break_ties``
+    a large set of them is ordered by the task it was read in, which is written down first
+    so that every later use sees the same order.
     """
 
     def __init__(
@@ -43,11 +50,16 @@ class OrderedGroups:
         order: Sequence[str],
         parts: int = 1024,
         min_rows: int = 1_000_000,
+        break_ties: bool = False,
     ):
         self.keys = list(keys)
         self.order = list(order)
         self.heavy_ties = False
         bounds = self._bounds(df, parts, min_rows)
+        if self.heavy_ties and break_ties:
+            df = materialize(df.withColumn(_TASK, F.spark_partition_id()))
+            self.order.append(_TASK)
+            bounds = self._bounds(df, parts, min_rows)
         self.sliced = bounds is not None
         self.df = self._cut(df, bounds) if self.sliced else df
 
@@ -168,7 +180,7 @@ class OrderedGroups:
         ).drop("__carry")
 
     def finish(self, df: DataFrame) -> DataFrame:
-        return df.drop(SLICE) if self.sliced else df
+        return df.drop(SLICE, _TASK)
 
 
 def running_total(
@@ -176,14 +188,10 @@ def running_total(
 ) -> DataFrame:
     """Running sum of ``value`` inside each group, current row included.
 
-    ``order`` should identify a row. Where it leaves a large set of ties, their order is
-    free, and the task number breaks them so that they can still be split.
+    ``order`` should identify a row; among rows it does not tell apart any order will do.
     """
-    groups = OrderedGroups(df, keys, order, **sizing)
-    if groups.heavy_ties:
-        tied = df.withColumn("__task", F.spark_partition_id())
-        groups = OrderedGroups(tied, keys, [*order, "__task"], **sizing)
-    return groups.finish(groups.with_running_sum(groups.df, F.col(value), name)).drop("__task")
+    groups = OrderedGroups(df, keys, order, break_ties=True, **sizing)
+    return groups.finish(groups.with_running_sum(groups.df, F.col(value), name))
 
 
 def rank_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, **sizing) -> DataFrame:

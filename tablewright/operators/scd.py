@@ -107,7 +107,7 @@ def scd2_overlaps(dim: DataFrame, keys: Sequence[str], start: str, end: str, **s
 
     ``next_start`` is the start that falls into the row.
     """
-    groups = OrderedGroups(dim, keys, [start, end], **sizing)
+    groups = OrderedGroups(dim, keys, [start, end], break_ties=True, **sizing)
     rows = groups.with_neighbour(groups.df, F.struct(F.col(start).alias("at")), "__next", ahead=True)
     rows = rows.withColumn("next_start", F.col("__next.at")).drop("__next")
     clash = F.col("next_start").isNotNull() & (F.col(end).isNull() | (F.col(end) > F.col("next_start")))

@@ -106,3 +106,11 @@ def test_latest_and_top_n(skewed):
         for row in rows:
             rank = 1 + sum(low(o[1]) > low(row[1]) for o in rows)
             assert ((key, row[2]) in best) == (rank <= 2)
+
+
+def test_neighbours_among_copies(spark):
+    df = spark.createDataFrame([("a", 1)] * 1000 + [("a", 2)] * 3, "k string, s int").repartition(8)
+    g = OrderedGroups(df, ["k"], ["s"], break_ties=True, **SMALL)
+    found = g.with_neighbour(g.df, F.struct(F.col("s").alias("x")), "n")
+    counts = {tuple(r) for r in found.groupBy("s", "n.x").count().collect()}
+    assert g.sliced and counts == {(1, None, 1), (1, 1, 999), (2, 1, 1), (2, 2, 2)}
