@@ -148,15 +148,24 @@ class OrderedGroups:
         frame = self.window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         if not self.sliced:
             return df.withColumn(name, F.sum(value).over(frame))
-        per_slice = df.filter(F.col(SLICE) >= 0).groupBy(*self.by).agg(F.sum(value).alias("__sum"))
-        before = Window.partitionBy(*self.keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-        carry = per_slice.withColumn("__carry", F.sum("__sum").over(before)).drop("__sum")
-        local = F.sum(value).over(frame)
+        local = self._with_earlier_slices(df.withColumn("__local", F.sum(value).over(frame)), df, value)
         # NULL + x is NULL: a missing side counts as nothing, two missing sides as NULL.
         total = F.coalesce(F.col("__carry") + F.col("__local"), F.col("__local"), F.col("__carry"))
-        return self._carried(df.withColumn("__local", local), carry, "__carry").withColumn(name, total).drop(
-            "__local", "__carry"
-        )
+        return local.withColumn(name, total).drop("__local", "__carry")
+
+    def with_rank(self, df: DataFrame, name: str) -> DataFrame:
+        """Add the rank in the group. Cuts lie between different values: ties share a slice."""
+        if not self.sliced:
+            return df.withColumn(name, F.rank().over(self.window).cast("bigint"))
+        local = self._with_earlier_slices(df.withColumn("__local", F.rank().over(self.window)), df, F.lit(1))
+        rank = F.col("__local") + F.coalesce(F.col("__carry"), F.lit(0))
+        return local.withColumn(name, rank.cast("bigint")).drop("__local", "__carry")
+
+    def _with_earlier_slices(self, df: DataFrame, rows: DataFrame, value: Column) -> DataFrame:
+        """Add ``__carry``: the sum of ``value`` over the earlier slices of the group."""
+        per_slice = rows.filter(F.col(SLICE) >= 0).groupBy(*self.by).agg(F.sum(value).alias("__sum"))
+        before = Window.partitionBy(*self.keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+        return self._carried(df, per_slice.withColumn("__carry", F.sum("__sum").over(before)).drop("__sum"), "__carry")
 
     def with_neighbour(self, df: DataFrame, value: Column, name: str, ahead: bool = False) -> DataFrame:
         """Add ``value`` of the row before (or after) in the group, NULL at its edge.
@@ -195,20 +204,20 @@ def running_total(
 
 
 def rank_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, **sizing) -> DataFrame:
-    """``rank`` of every row in its group: equal rows share a rank, gaps follow.
+    """``rank`` of every row in its group, as a bigint: equal rows share a rank, gaps follow.
 
-    With an outsized group the rank is taken from counts per distinct value: these are
-    combined on the map side, so even one value with most of the rows stays cheap.
+    Where one value holds very many rows, which no cut can separate, the rank is taken from
+    counts per distinct value: these are combined on the map side.
     """
     values = [bare(o) for o in order]
-    groups = OrderedGroups(df.select(*keys, *values), keys, order, **sizing)
-    if not groups.sliced:
-        return df.withColumn(name, F.rank().over(Window.partitionBy(*keys).orderBy(*[sort_column(o) for o in order])))
+    groups = OrderedGroups(df, keys, order, **sizing)
+    if not groups.heavy_ties:
+        return groups.finish(groups.with_rank(groups.df, name))
     counted = groups.df.groupBy(*groups.by, *values).agg(F.count(F.lit(1)).alias("__n"))
     ranked = groups.with_running_sum(counted, F.col("__n"), "__upto")
     ranked = ranked.select(
         *[F.col(c).alias(f"__r_{c}") for c in [*keys, *values]],
-        (F.col("__upto") - F.col("__n") + 1).cast("int").alias(name),
+        (F.col("__upto") - F.col("__n") + 1).cast("bigint").alias(name),
     )
     same = F.lit(True)
     for c in [*keys, *values]:
