@@ -38,7 +38,7 @@ def compact(
     files = list_files(spark, src)
     if not by:
         if where is not None:
-            df = df.filter(as_column(where))
+            raise ValueError("only whole partitions can be chosen: name the partition columns")
         total = files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
         wanted = max(1, math.ceil(total / target_bytes))
         df.repartition(wanted).write.parquet(dst)

@@ -161,7 +161,7 @@ def cdc_scd1_ignore_nulls(t: Tables) -> DataFrame:
     )
 
 
-def _history_sql(tracked: list[str], rest: list[str], source: str = "cdc") -> str:
+def history_sql(tracked: list[str], rest: list[str], source: str = "cdc") -> str:
     """Runs of equal tracked columns, by gaps and islands, from rows named like CDC events."""
     changed = " OR ".join(f"p_{c} IS DISTINCT FROM {c}" for c in tracked)
     lags = ", ".join(f"lag({c}) OVER w AS p_{c}" for c in tracked)
@@ -182,7 +182,7 @@ def _history_sql(tracked: list[str], rest: list[str], source: str = "cdc") -> st
 
 
 @query(
-    f"""WITH {inputs.CDC}, {_history_sql(["name", "city"], [])}
+    f"""WITH {inputs.CDC}, {history_sql(["name", "city"], [])}
     SELECT "userId", name, city, "__START_AT", "__END_AT" FROM history WHERE NOT gone"""
 )
 def cdc_scd2(t: Tables) -> DataFrame:
@@ -191,7 +191,7 @@ def cdc_scd2(t: Tables) -> DataFrame:
 
 
 @query(
-    f"""WITH {inputs.CDC}, {_history_sql(["name"], ["city"])}
+    f"""WITH {inputs.CDC}, {history_sql(["name"], ["city"])}
     SELECT "userId", name, city, "__START_AT", "__END_AT" FROM history WHERE NOT gone"""
 )
 def cdc_scd2_track(t: Tables) -> DataFrame:
@@ -202,7 +202,7 @@ def cdc_scd2_track(t: Tables) -> DataFrame:
 
 
 @query(
-    f"""WITH {inputs.CDC}, {_history_sql(["name", "city"], [])},
+    f"""WITH {inputs.CDC}, {history_sql(["name", "city"], [])},
     days AS (SELECT event_id, CAST(ts AS DATE) AS day FROM events)
     SELECT h."userId", h.name, h.city, s.day AS start_day, h."__START_AT" AS start_id, e.day AS end_day,
       h."__END_AT" AS end_id
@@ -226,7 +226,7 @@ def cdc_seq_struct(t: Tables) -> DataFrame:
 
 
 @query(
-    f"""WITH {inputs.CDC}, {_history_sql(["name", "city"], [])}
+    f"""WITH {inputs.CDC}, {history_sql(["name", "city"], [])}
     SELECT "userId", name, city, "__START_AT", "__END_AT" FROM history WHERE NOT gone"""
 )
 def cdc_out_of_order(t: Tables) -> DataFrame:
@@ -262,7 +262,7 @@ def cdc_validate(t: Tables) -> DataFrame:
 
 
 @query(
-    f"""WITH {inputs.CDC}, {_history_sql(["name", "city"], [])},
+    f"""WITH {inputs.CDC}, {history_sql(["name", "city"], [])},
     middle AS (SELECT max("sequenceNum") // 2 AS point FROM cdc)
     SELECT "userId", name, city, "__START_AT", "__END_AT" FROM history, middle
     WHERE NOT gone AND "__START_AT" <= point AND ("__END_AT" IS NULL OR point < "__END_AT")"""
@@ -276,7 +276,7 @@ def scd2_as_of(t: Tables) -> DataFrame:
 
 
 @query(
-    f"""WITH {inputs.CDC}, {_history_sql(["name", "city"], [])},
+    f"""WITH {inputs.CDC}, {history_sql(["name", "city"], [])},
     opened AS (SELECT "userId", name, city, "__START_AT", "__END_AT" FROM history WHERE NOT gone),
     added AS (
       SELECT * FROM opened

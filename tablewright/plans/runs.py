@@ -138,8 +138,10 @@ def log_shuffle(t: Tables) -> DataFrame:
     SELECT *, gc_time / run_time AS gc_share, gc_time / run_time >= 0.1 AS memory_pressure FROM g"""
 )
 def log_gc(t: Tables) -> DataFrame:
-    """Garbage collection by stage and by executor."""
+    """Garbage collection by stage and by executor; the events are parsed once for both."""
     rows = tasks(t, "executor_id", "gc_time", "run_time")
+    sums = [F.sum(c).alias(c) for c in ("gc_time", "run_time")]
+    rows = rows.groupBy(*reports.STAGE, "executor_id").agg(*sums)
 
     def named(report: DataFrame, level: str, name: str) -> DataFrame:
         return report.select(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tablewright.operators import cdc
 from tablewright.plans import inputs
-from tablewright.plans.history import IS_DELETE, TECHNICAL, _history_sql
+from tablewright.plans.history import IS_DELETE, TECHNICAL, history_sql
 from tablewright.plans.registry import query
 from tablewright.session import scratch
 from tablewright.sources.tables import Tables
@@ -186,7 +186,7 @@ def stream_upsert(t: Tables) -> DataFrame:
 
 
 @query(
-    f"""WITH {inputs.CDC}, {_history_sql(["name", "city"], [])}
+    f"""WITH {inputs.CDC}, {history_sql(["name", "city"], [])}
     SELECT "userId", name, city, "__START_AT", "__END_AT" FROM history WHERE NOT gone"""
 )
 def stream_cdc(t: Tables) -> DataFrame:

@@ -22,6 +22,8 @@ def test_compaction_of_partitions(spark, folder):
     some = io.list_files(spark, f"{folder}/some")
     assert 2 <= some.count() <= 6
     assert same_rows(spark.read.parquet(f"{folder}/some").select("id", "p"), df.filter("p = 'x'"))
+    with pytest.raises(ValueError):
+        layout.compact(spark, f"{folder}/src", f"{folder}/none", where="p = 'x'")
 
 
 def test_dynamic_overwrite_leaves_other_partitions(spark, folder):
