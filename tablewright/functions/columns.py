@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import DataType
 
 
 def as_column(value: Column | str) -> Column:
@@ -10,6 +13,11 @@ def as_column(value: Column | str) -> Column:
     return F.expr(value) if isinstance(value, str) else value
 
 
+def moment(value: datetime, kind: DataType | str = "timestamp_ntz") -> Column:
+    """A point in time as written, whatever the time zones of driver and session."""
+    return F.lit(value.isoformat(sep=" ")).cast(kind)
+
+
 def holds(condition: Column | str | None) -> Column:
     """A predicate with SQL filter semantics: NULL counts as false, none at all as true."""
     if condition is None:

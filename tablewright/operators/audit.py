@@ -7,6 +7,8 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tablewright.functions.columns import moment
+
 # Limits of the recent-activity and heavy-user reports.
 RECENT_DAYS = 7
 RECENT_ROWS = 100
@@ -16,7 +18,7 @@ ACTIVE_ACTIONS = 50
 
 def newer_than(df: DataFrame, column: str, now: datetime, interval: timedelta) -> DataFrame:
     """Rows of the last ``interval`` before ``now``. The clock is an argument, never read here."""
-    start = F.lit(now - interval).cast(df.schema[column].dataType)
+    start = moment(now - interval, df.schema[column].dataType)
     return df.filter(F.col(column) >= start)
 
 

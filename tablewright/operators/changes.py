@@ -11,6 +11,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tablewright.functions.columns import moment
 from tablewright.operators.merge import ALL, DELETE, merge
 from tablewright.operators.ordered import latest
 
@@ -36,7 +37,7 @@ def read_changes(
 
     def bound(value) -> tuple[str, Column]:
         if isinstance(value, datetime):
-            return TIMESTAMP, F.lit(value).cast(log.schema[TIMESTAMP].dataType)
+            return TIMESTAMP, moment(value, log.schema[TIMESTAMP].dataType)
         return VERSION, value if isinstance(value, Column) else F.lit(value)
 
     if start is not None:
@@ -86,7 +87,7 @@ def _change_rows(pairs: DataFrame, keys: Sequence[str], columns: Sequence[str],
             *[F.col(c) if c in keys else F.col(f"c.row.`{c}`").alias(c) for c in columns],
             F.col("c.kind").alias(CHANGE_TYPE),
             F.lit(version).cast("bigint").alias(VERSION),
-            F.lit(ts).alias(TIMESTAMP),
+            moment(ts).alias(TIMESTAMP),
         )
     )
 
@@ -124,7 +125,10 @@ def restore(
     effective = log.filter(F.col(CHANGE_TYPE) != UPDATE_BEFORE)
     position = F.struct(F.col(VERSION), _removal_first())
     row = F.struct(F.struct(*columns).alias("row"), (F.col(CHANGE_TYPE) == REMOVE).alias("gone"))
-    early = F.col(TIMESTAMP) <= F.lit(at) if isinstance(at, datetime) else F.col(VERSION) <= at
+    if isinstance(at, datetime):
+        early = F.col(TIMESTAMP) <= moment(at, log.schema[TIMESTAMP].dataType)
+    else:
+        early = F.col(VERSION) <= at
 
     def alive(state: str) -> Column:
         return F.when(~F.col(f"{state}.gone"), F.col(f"{state}.row"))

@@ -7,7 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
-from tablewright.functions.columns import row_hash
+from tablewright.functions.columns import moment, row_hash
 from tablewright.operators.ordered import OrderedGroups
 
 # Columns of the hash form and the end of an open row.
@@ -28,7 +28,7 @@ def scd2_hash(
     """
     keys, attrs = list(keys), list(attrs)
     ts_type = dim.schema[VALID_FROM].dataType
-    change = F.lit(change_ts).cast(ts_type)
+    change = moment(change_ts, ts_type)
     closed = dim.filter(~F.coalesce(F.col(IS_CURRENT), F.lit(False)))
     current = dim.filter(F.col(IS_CURRENT))
 

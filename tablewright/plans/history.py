@@ -59,8 +59,7 @@ new AS (
       FROM old o JOIN new n ON o.c_custkey = n.c_custkey WHERE o.c_acctbal <> n.c_acctbal"""
 )
 def snapshot_diff(t: Tables) -> DataFrame:
-    diff = changes.snapshot_diff(_customer_snapshot(t), _later_snapshot(t), ["c_custkey"], 2, CHANGE_TIME)
-    return diff.withColumn("_commit_timestamp", F.col("_commit_timestamp").cast("timestamp_ntz"))
+    return changes.snapshot_diff(_customer_snapshot(t), _later_snapshot(t), ["c_custkey"], 2, CHANGE_TIME)
 
 
 @query(
@@ -101,8 +100,7 @@ def as_of_version(t: Tables) -> DataFrame:
 )
 def restore_version(t: Tables) -> DataFrame:
     """The changes that bring back the middle of the month."""
-    back = changes.restore(inputs.change_log(t), ["id"], inputs.MIDDLE, 1_000_000_000, CHANGE_TIME)
-    return back.withColumn("_commit_timestamp", F.col("_commit_timestamp").cast("timestamp_ntz"))
+    return changes.restore(inputs.change_log(t), ["id"], inputs.MIDDLE, 1_000_000_000, CHANGE_TIME)
 
 
 _LATEST = f"""{inputs.CDC}, newest AS (

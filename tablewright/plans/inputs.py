@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
+from tablewright.functions.columns import moment
 from tablewright.sources.tables import Tables
 
 LOADED_UNTIL = datetime(2000, 1, 1)
@@ -32,12 +33,12 @@ SALES = """sales AS (
 
 def sales_loaded(t: Tables) -> DataFrame:
     """What an earlier load had brought in."""
-    return sales(t).filter(F.col("ts") < F.lit(LOADED_UNTIL).cast("timestamp_ntz"))
+    return sales(t).filter(F.col("ts") < moment(LOADED_UNTIL))
 
 
 def sales_updates(t: Tables) -> DataFrame:
     """A batch that overlaps the earlier load: repriced sales, and new ones."""
-    batch = sales(t).filter(F.col("ts") >= F.lit(CHANGED_SINCE).cast("timestamp_ntz"))
+    batch = sales(t).filter(F.col("ts") >= moment(CHANGED_SINCE))
     return batch.withColumn("amount", F.col("amount") + 10.0)
 
 

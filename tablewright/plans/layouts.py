@@ -7,6 +7,7 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tablewright.functions.columns import moment
 from tablewright.operators import layout
 from tablewright.plans.registry import query
 from tablewright.session import scratch
@@ -53,7 +54,7 @@ _RANGES = {
 def _read_by(t: Tables, path: str) -> DataFrame:
     """How many files of a table the range query has to open, as one value."""
     ranges = {
-        c: tuple(F.lit(v).cast("timestamp_ntz") if isinstance(v, datetime) else F.lit(v) for v in bounds)
+        c: tuple(moment(v) if isinstance(v, datetime) else F.lit(v) for v in bounds)
         for c, bounds in _RANGES.items()
     }
     report = layout.skipping_report(t.spark.read.parquet(path), list(_RANGES), ranges)

@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
-from tablewright.functions.columns import safe_divide
+from tablewright.functions.columns import moment, safe_divide
 from tablewright.operators.audit import newer_than
 from tablewright.plans import inputs
 from tablewright.plans.registry import query
@@ -97,7 +97,7 @@ def not_null_filter(t: Tables) -> DataFrame:
       AND o_orderdate BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1998-12-31'"""
 )
 def in_like_between(t: Tables) -> DataFrame:
-    first, last = (F.lit(d).cast("timestamp_ntz") for d in (datetime(1996, 1, 1), datetime(1998, 12, 31)))
+    first, last = (moment(d) for d in (datetime(1996, 1, 1), datetime(1998, 12, 31)))
     return t.orders.filter(
         F.col("o_orderstatus").isin("F", "O")
         & F.col("o_orderpriority").like("1-%")

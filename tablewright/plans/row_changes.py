@@ -6,6 +6,7 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, functions as F
 
+from tablewright.functions.columns import moment
 from tablewright.operators import changes
 from tablewright.operators.merge import ALL, DELETE, delete_where as delete_rows, merge, update_where as update_rows
 from tablewright.plans import inputs
@@ -33,7 +34,7 @@ def merge_upsert_all(t: Tables) -> DataFrame:
 )
 def merge_upsert_cols(t: Tables) -> DataFrame:
     """The time of creation survives an update, the time of the last update is renewed."""
-    created, now = (F.lit(d).cast("timestamp_ntz") for d in (CREATED, NOW))
+    created, now = (moment(d) for d in (CREATED, NOW))
     target = t.supplier.select(
         F.col("s_suppkey").alias("unique_business_key"),
         F.col("s_name").alias("col1"),
@@ -126,7 +127,7 @@ def update_where(t: Tables) -> DataFrame:
 def _marks(t: Tables) -> DataFrame:
     """High-water marks: the feed of events was processed up to the middle of the month."""
     reached = inputs.change_log(t).filter(
-        F.col("_commit_timestamp") <= F.lit(inputs.MIDDLE).cast("timestamp_ntz")
+        F.col("_commit_timestamp") <= moment(inputs.MIDDLE)
     )
     return reached.groupBy(F.lit("events").alias("table_name")).agg(F.max("_commit_version").alias("processed_version"))
 

@@ -124,7 +124,7 @@ def date_sub_days(t: Tables) -> DataFrame:
       ts >= TIMESTAMP '2024-01-30 12:00:00' - INTERVAL 24 HOUR AS is_recent FROM events"""
 )
 def interval_sub(t: Tables) -> DataFrame:
-    start = F.lit(inputs.AUDIT_NOW - timedelta(hours=24)).cast("timestamp_ntz")
+    start = fn.moment(inputs.AUDIT_NOW - timedelta(hours=24))
     return t.events.select(
         "event_id",
         (F.col("ts") - F.expr("INTERVAL 7 DAYS")).alias("week_before"),
@@ -145,7 +145,7 @@ def now_stamp(t: Tables) -> DataFrame:
     """The time of a run as an argument: a repeated run gives the same rows."""
     now: datetime = inputs.AUDIT_NOW
     return t.orders.select(
-        "o_orderkey", F.lit(now).cast("timestamp_ntz").alias("loaded_at"), F.lit(now.date()).alias("loaded_on")
+        "o_orderkey", fn.moment(now).alias("loaded_at"), F.lit(now.date()).alias("loaded_on")
     )
 
 
