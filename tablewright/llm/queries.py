@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablewright.llm.mixing import mixed_sources
+from tablewright.llm.training_order import training_order
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -32,3 +33,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed by weights 1, 2, 3 over their sources."""
     return mixed_sources(table(spark, sf_dir, "documents")).drop("runs")
+
+
+@query()
+def op1_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token ids in shards of fixed-size records, in an order drawn by a key."""
+    return training_order(table(spark, sf_dir, "documents"))
