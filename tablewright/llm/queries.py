@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablewright.llm.mixing import mixed_sources
+from tablewright.llm.sentence_spans import without_repeated_spans
 from tablewright.llm.training_order import training_order
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +40,40 @@ def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token ids in shards of fixed-size records, in an order drawn by a key."""
     return training_order(table(spark, sf_dir, "documents"))
+
+
+@query(
+    r"""WITH cut AS (
+      SELECT doc_id, text, regexp_extract_all(coalesce(text, ''), '[^.!?\n]*[.!?\n]+[ \t\n\x0b\x0c\r]*|[^.!?\n]+') AS raw
+      FROM documents),
+    unit AS (SELECT doc_id, unnest(raw) AS raw, generate_subscripts(raw, 1) AS i FROM cut),
+    plain AS (
+      SELECT doc_id, i, raw,
+        trim(regexp_replace(lower(raw), '[ \t\n\x0b\x0c\r]+', ' ', 'g')) AS said,
+        len(regexp_extract_all(raw, '[^ \t\n\x0b\x0c\r]+')) AS words
+      FROM unit),
+    two AS (
+      SELECT doc_id, i, said || chr(10) || lead(said) OVER w AS run, 2 AS n, words + lead(words) OVER w AS words
+      FROM plain WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+    runs AS (
+      SELECT doc_id, i, n, run FROM two WHERE words >= 8
+      UNION ALL SELECT doc_id, i, 1, said FROM plain WHERE words >= 20),
+    placed AS (
+      SELECT *, min(doc_id) OVER (PARTITION BY n, run) AS first, min(i) OVER (PARTITION BY n, run, doc_id) AS first_i
+      FROM runs),
+    covered AS (
+      SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS i FROM placed WHERE doc_id <> first OR i <> first_i),
+    kept AS (
+      SELECT p.doc_id, count(*) AS n_sentences, count(c.i) AS n_removed,
+        coalesce(string_agg(p.raw, '' ORDER BY p.i) FILTER (WHERE c.i IS NULL), '') AS text
+      FROM plain p LEFT JOIN covered c ON p.doc_id = c.doc_id AND p.i = c.i GROUP BY p.doc_id)
+    SELECT d.doc_id, coalesce(n_sentences, 0) AS n_sentences, coalesce(n_removed, 0) AS n_removed,
+      length(coalesce(k.text, d.text)) AS kept_chars, md5(coalesce(k.text, d.text)) AS kept_md5
+    FROM documents d LEFT JOIN kept k USING (doc_id)"""
+)
+def op6_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without sentences in a run of sentences that stood before."""
+    kept = without_repeated_spans(table(spark, sf_dir, "documents"))
+    return kept.select(
+        "doc_id", "n_sentences", "n_removed", F.char_length("text").alias("kept_chars"), F.md5("text").alias("kept_md5")
+    )
