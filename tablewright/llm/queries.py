@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tablewright.llm.mixing import mixed_sources
 from tablewright.llm.sentence_spans import without_repeated_spans
 from tablewright.llm.training_order import training_order
+from tablewright.llm.weighted_minhash import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -77,3 +78,9 @@ def op6_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select(
         "doc_id", "n_sentences", "n_removed", F.char_length("text").alias("kept_chars"), F.md5("text").alias("kept_md5")
     )
+
+
+@query()
+def op10_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their class of copies and their group of near-duplicates."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
