@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablewright.llm.mixing import mixed_sources
 from tablewright.llm.sentence_spans import without_repeated_spans
+from tablewright.llm.site_quality import site_quality
 from tablewright.llm.training_order import training_order
 from tablewright.llm.weighted_minhash import near_duplicates
 
@@ -84,3 +85,9 @@ def op6_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with their class of copies and their group of near-duplicates."""
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op9_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their evidence, their site's rates and whether they are rejected."""
+    return site_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("version")
