@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablewright.llm.mixing import mixed_sources
+from tablewright.llm.pieces import decoded, encoded
 from tablewright.llm.sentence_spans import without_repeated_spans
 from tablewright.llm.site_quality import site_quality
 from tablewright.llm.training_order import training_order
@@ -91,3 +92,14 @@ def op10_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with their evidence, their site's rates and whether they are rejected."""
     return site_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("version")
+
+
+@query()
+def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as SentencePiece ids and back: digests of the ids and of the text that comes back."""
+    rows = encoded(table(spark, sf_dir, "documents").select("doc_id", "text"), packed=True)
+    rows = decoded(rows.select("doc_id", F.md5("text").alias("text_md5"), "piece_ids"))
+    return rows.select(
+        "doc_id", F.expr("octet_length(piece_ids) div 2").alias("n_pieces"), F.md5("piece_ids").alias("ids_md5"),
+        F.md5("decoded").alias("decoded_md5"), F.md5("decoded").eqNullSafe(F.col("text_md5")).alias("restored"),
+    )
