@@ -41,7 +41,7 @@ class Encoder:
             if len(cache) > _CACHE:
                 cache.clear()
             known = cache if len(chunks) < _CACHE else {}
-            for c in set(chunks) - known.keys():
+            for c in (c for c in set(chunks) if c not in known):
                 known[c] = np.array(self.coder.encode_ordinary(c), self.kind).tobytes()
             return b"".join([known[c] for c in chunks])
 
