@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
-from tablewright.llm.common import n_words, permuted, running, stored
+from tablewright.llm.common import WORD, n_words, permuted, running, stored
 from tablewright.operators.joins import broadcast_join
 
 _TRIES = 32
+_WORD = re.compile(WORD)
 
 
 def _targets(sources: DataFrame, repeats: int) -> DataFrame:
@@ -167,3 +170,38 @@ def _deal(frame: pd.DataFrame, block: int, seed: int) -> pd.DataFrame:
             runs[r[i]].append({"epoch": epoch, "shard": int(shard[i]), "first": int(f[i]), "words": int(total)})
         epoch += 1
     return frame.drop(columns=_INNER).assign(taken=taken, runs=runs)
+
+
+def mixed_documents(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options
+) -> DataFrame:
+    """The documents as the mix takes them: a row for each document and epoch with the words taken in it.
+
+    The columns are those of ``docs``. What was taken stands in the order of the text with
+    the white space between; a document of which nothing is taken, as an empty one, has no row.
+    """
+    named = docs.withColumnsRenamed({c: f"c{i}" for i, c in enumerate(docs.columns)})
+    columns = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    i, t, s = (columns[c] for c in (id_col, text_col, source_col))
+    rest = [c for c in named.columns if c != i]
+    mix = mixed_sources(named, i, t, s, keep=rest, **options).filter("taken > 0").select(*named.columns, "runs")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = batch.schema.get_field_index(t)
+            row, texts = [], []
+            for n, (text, runs) in enumerate(zip(batch.column(place), batch.column(batch.num_columns - 1))):
+                text, parts = text.as_py(), {}
+                begins = [m.start() for m in _WORD.finditer(text)] + [len(text)]
+                for run in runs.as_py():
+                    piece = text[begins[run["first"]] : begins[run["first"] + run["words"]]]
+                    parts.setdefault(run["epoch"], []).append((run["first"], piece))
+                row += [n] * len(parts)
+                texts += ["".join(piece for _, piece in sorted(parts[epoch])) for epoch in sorted(parts)]
+            kept = batch.select(batch.schema.names[:-1]).take(pa.array(row, pa.int64()))
+            out = list(kept.columns)
+            out[place] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays(out, names=kept.schema.names)
+
+    taken = mix.mapInArrow(cut, named.schema)
+    return taken.withColumnsRenamed({k: c for c, k in columns.items()})
