@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablewright.llm.mixing import mixed_sources
 from tablewright.llm.pieces import decoded, encoded
+from tablewright.llm.posting_lists import nearest
 from tablewright.llm.sentence_spans import without_repeated_spans
 from tablewright.llm.site_quality import site_quality
 from tablewright.llm.training_order import training_order
@@ -103,3 +104,9 @@ def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.expr("octet_length(piece_ids) div 2").alias("n_pieces"), F.md5("piece_ids").alias("ids_md5"),
         F.md5("decoded").alias("decoded_md5"), F.md5("decoded").eqNullSafe(F.col("text_md5")).alias("restored"),
     )
+
+
+@query()
+def op4_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest other vectors of each vector whose id is divisible by 20."""
+    return nearest(table(spark, sf_dir, "embeddings"))
