@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablewright.llm.mixing import mixed_sources
+from tablewright.llm.order_minhash import fingerprints
 from tablewright.llm.pieces import decoded, encoded
 from tablewright.llm.posting_lists import nearest
 from tablewright.llm.sentence_spans import without_repeated_spans
@@ -110,3 +111,9 @@ def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest other vectors of each vector whose id is divisible by 20."""
     return nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents, of their edited texts, and how alike these are."""
+    return fingerprints(table(spark, sf_dir, "documents"))
