@@ -10,6 +10,7 @@ from tablewright.llm.mixing import mixed_sources
 from tablewright.llm.order_minhash import fingerprints
 from tablewright.llm.pieces import decoded, encoded
 from tablewright.llm.posting_lists import nearest
+from tablewright.llm.quotations import as_messages, linked
 from tablewright.llm.sentence_spans import without_repeated_spans
 from tablewright.llm.site_quality import site_quality
 from tablewright.llm.training_order import training_order
@@ -117,3 +118,29 @@ def op4_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents, of their edited texts, and how alike these are."""
     return fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query(
+    r"""WITH RECURSIVE turns AS (
+      SELECT conv_id, turn, coalesce(max(text), '') AS text,
+        nullif(trim(regexp_replace(lower(coalesce(max(text), '')), '[ \t\n\x0b\x0c\r]+', ' ', 'g')), '') AS plain
+      FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY conv_id, turn),
+    m AS (
+      SELECT a.conv_id * 1048576 + a.turn AS id, a.text, a.plain AS own, b.plain AS first, c.plain AS second
+      FROM turns a LEFT JOIN turns b ON a.conv_id = b.conv_id AND a.turn = b.turn + 1
+        LEFT JOIN turns c ON a.conv_id = c.conv_id AND a.turn = c.turn + 2),
+    offers AS (SELECT own, first, min(id) AS parent FROM m WHERE own IS NOT NULL GROUP BY own, first),
+    links AS (
+      SELECT m.id, m.text, parent FROM m LEFT JOIN offers o ON m.first = o.own AND m.second IS NOT DISTINCT FROM o.first),
+    tree AS (
+      SELECT id, id AS root, 0 AS depth FROM links WHERE parent IS NULL
+      UNION ALL SELECT l.id, t.root, t.depth + 1 FROM links l JOIN tree t ON l.parent = t.id)
+    SELECT id AS message_id, parent AS parent_id, root AS root_id, depth,
+      row_number() OVER (PARTITION BY root ORDER BY depth, id) - 1 AS position,
+      md5(trim(text, chr(10) || chr(9) || chr(13) || ' ')) AS text_md5
+    FROM links JOIN tree USING (id)"""
+)
+def op8_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All turns, written as mail with nested quotes, linked and ordered again without quotes."""
+    found = linked(as_messages(table(spark, sf_dir, "conversations")))
+    return found.select("message_id", "parent_id", "root_id", "depth", "position", F.md5("text").alias("text_md5"))
