@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tablewright.llm.lm_scores import scored
 from tablewright.llm.mixing import mixed_sources
 from tablewright.llm.order_minhash import fingerprints
 from tablewright.llm.pieces import decoded, encoded
@@ -144,3 +145,9 @@ def op8_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All turns, written as mail with nested quotes, linked and ordered again without quotes."""
     found = linked(as_messages(table(spark, sf_dir, "conversations")))
     return found.select("message_id", "parent_id", "root_id", "depth", "position", F.md5("text").alias("text_md5"))
+
+
+@query()
+def op3_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of all documents by the attention model, beside those of word counts."""
+    return scored(table(spark, sf_dir, "documents"))
