@@ -17,6 +17,7 @@ from tablewright.llm.graph import components
 _CACHE = 500_000
 _KEY = 40  # bits of a shingle hash that tell shingles of one bucket apart
 _TOGETHER = 2_000  # members of a bucket that are compared in one task
+_BYTES = 64_000_000  # and the size of their sets
 
 
 class _Hashes(dict):
@@ -239,35 +240,48 @@ def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
 
 
 def _across(members: DataFrame, buckets: DataFrame, sets: DataFrame, bands_rows: int, least: float) -> DataFrame:
-    """Pairs of one bucket that are in different components and agree in most samples.
+    """Links within a bucket that join different components.
 
-    A large bucket is cut into chunks and each pair of chunks is a task; only pairs whose
-    samples agree leave it, as a pair of ``least`` does but for one case in millions.
+    A large bucket is cut into chunks by members and bytes, and each pair of chunks is a
+    task. A pair is looked at in the first band that it shares, if its samples agree as
+    those of a pair of ``least`` do but for one case in millions, and if no link found in
+    the task joins it already: a task gives fewer links than it has members.
     """
-    cut = F.greatest(F.lit(1), F.ceil(F.col("n") / _TOGETHER)).cast("int")
+    cut = F.greatest(F.lit(1), F.ceil(F.col("n") / _TOGETHER), F.ceil(F.col("bytes") / _BYTES)).cast("int")
     rest = members.join(buckets.select("band", "key", cut.alias("chunks")), ["band", "key"])
     rest = rest.withColumn("chunk", F.pmod(F.xxhash64("mark"), F.col("chunks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
     rest = rest.withColumn("other", other)
     rest = rest.withColumns({"low": F.least("chunk", "other"), "high": F.greatest("chunk", "other")})
     rest = rest.select("band", "key", "low", "high", "chunk", "mark", "label")
-    rest = rest.join(sets.select("mark", "signature"), "mark")
+    rest = rest.join(sets.select("mark", "signature", "keys", "hashes", "weights"), "mark")
     need = int(bands_rows * least * 0.6)
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         signs = np.stack([np.frombuffer(s, np.uint32) for s in frame["signature"]])
-        labels, marks, chunk = frame["label"].to_numpy(), frame["mark"].to_numpy(), frame["chunk"].to_numpy()
+        band = int(frame["band"].iloc[0])
+        before = np.stack(frame["keys"].to_numpy())[:, :band]
+        hashes = [np.frombuffer(h, np.uint64) for h in frame["hashes"]]
+        weights = [np.frombuffer(w, np.float32).astype(np.float64) for w in frame["weights"]]
+        part = np.unique(frame["label"].to_numpy().astype(object), return_inverse=True)[1]
+        marks, chunk = frame["mark"].tolist(), frame["chunk"].to_numpy()
         alone = frame["low"].iloc[0] == frame["high"].iloc[0]
-        a, b = [], []
+        links = []
         for i in range(len(frame)):
-            js = np.arange(i + 1, len(frame)) if alone else i + 1 + np.flatnonzero(chunk[i + 1 :] != chunk[i])
-            js = js[labels[js] != labels[i]]
-            js = js[(signs[js] == signs[i]).sum(1) >= need]
-            a += [min(marks[i], marks[j]) for j in js]
-            b += [max(marks[i], marks[j]) for j in js]
-        return pd.DataFrame({"a": a, "b": b})
-
-    return rest.groupBy("band", "key", "low", "high").applyInPandas(compare, "a string, b string").distinct()
+            js = i + 1 + np.flatnonzero((part[i + 1 :] != part[i]) & (alone | (chunk[i + 1 :] != chunk[i])))
+            agree = (signs[js] == signs[i]).sum(1)
+            js, agree = js[agree >= need], agree[agree >= need]
+            first = ~(before[js] == before[i]).any(1)
+            for j in js[first][np.argsort(-agree[first], kind="stable")]:
+                if part[j] != part[i]:
+                    s = weighted_jaccard(hashes[i], weights[i], hashes[j], weights[j])
+                    if s >= least:
+                        links.append((min(marks[i], marks[j]), max(marks[i], marks[j]), s))
+                        part[part == part[j]] = part[i]
+        return pd.DataFrame(links, columns=["a", "b", "similarity"]).astype({"a": object, "b": object, "similarity": float})
+
+    found = rest.groupBy("band", "key", "low", "high").applyInPandas(compare, "a string, b string, similarity double")
+    return found.dropDuplicates(["a", "b"])
 
 
 def near_duplicates(
@@ -298,7 +312,8 @@ def near_duplicates(
     docs = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     sets = stored(shared_sets(docs, words, least, bands, rows, seed, batch_chars), "sets").dropDuplicates(["mark"])
     sets = stored(sets, "distinct-sets")
-    members = stored(sets.select("mark", F.posexplode("keys").alias("band", "key")), "bands")
+    size = F.expr("octet_length(hashes) + octet_length(weights)").cast("bigint").alias("size")
+    members = stored(sets.select("mark", size, F.posexplode("keys").alias("band", "key")), "bands")
     buckets = members.groupBy("band", "key").agg(F.min("mark").alias("a"), F.count("*").alias("n")).filter("n > 1")
     buckets = stored(buckets, "buckets")
     pairs = members.join(buckets, ["band", "key"]).filter("a <> mark").select("a", F.col("mark").alias("b")).distinct()
@@ -306,10 +321,10 @@ def near_duplicates(
 
     labels = components(links)
     placed = members.join(labels, F.col("mark") == F.col("node"), "left")
-    placed = placed.select("band", "key", "mark", F.coalesce("label", "mark").alias("label"))
+    placed = placed.select("band", "key", "mark", "size", F.coalesce("label", "mark").alias("label"))
     apart = placed.join(buckets.select("band", "key"), ["band", "key"]).groupBy("band", "key")
-    apart = apart.agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("n")).filter("x <> y")
-    more = stored(_verified(_across(placed, apart, sets, bands * rows, least), sets, least), "more-links")
+    apart = apart.agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("n"), F.sum("size").alias("bytes")).filter("x <> y")
+    more = stored(_across(placed, apart, sets, bands * rows, least), "more-links")
     if not more.isEmpty():
         labels = components(links.unionAll(more))
 
