@@ -53,7 +53,7 @@ STAGES = [
     ("pieces", as_pieces),
 ]
 
-# Classifier, sampling and segmentation have no SQL; tests/llm compares the stages with plain Python.
+# Classifier, sampling and segmentation have no SQL; tests/llm covers the operators one by one.
 ORACLE_SQL = None
 
 
