@@ -35,7 +35,7 @@ def audit_recent(
     days: int = RECENT_DAYS,
     n: int = RECENT_ROWS,
 ) -> DataFrame:
-    """The newest ``n`` actions on objects whose name starts with ``prefix``."""
+    """The newest ``n`` actions on objects whose name starts with ``prefix``; ties go by the other columns, NULLs last."""
     name = F.col("request_params.full_name_arg")
     return (
         newer_than(df, "event_time", now, timedelta(days=days))
@@ -47,7 +47,7 @@ def audit_recent(
             name.alias("object_name"),
             "source_ip_address",
         )
-        .orderBy(F.desc("event_time"))
+        .orderBy(F.desc("event_time"), *[F.asc_nulls_last(c) for c in ("user_email", "action_name", "object_name", "source_ip_address")])
         .limit(n)
     )
 

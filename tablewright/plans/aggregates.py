@@ -53,18 +53,19 @@ def freq_table(t: Tables) -> DataFrame:
     return counts.orderBy(F.desc("n"), "country")
 
 
+_PEOPLE_COLUMNS = ["userId", "country", "age", "date_str", "gender", "email", "phone", "name", "price", "temp_flag"]
+
+
 @query(
     f"""WITH {inputs.PEOPLE},
-    c AS (SELECT count(*) - count(country) AS country, count(*) - count(age) AS age,
-      count(*) - count(date_str) AS date_str, count(*) - count(price) AS price FROM people)
-    SELECT 'country' AS column_name, country AS nulls FROM c UNION ALL SELECT 'age', age FROM c
-    UNION ALL SELECT 'date_str', date_str FROM c UNION ALL SELECT 'price', price FROM c"""
+    c AS (SELECT {", ".join(f'count(*) - count("{c}") AS "{c}"' for c in _PEOPLE_COLUMNS)} FROM people)
+    {" UNION ALL ".join(f"SELECT '{c}' AS column_name, " + f'"{c}" AS nulls FROM c' for c in _PEOPLE_COLUMNS)}"""
 )
 def null_counts(t: Tables) -> DataFrame:
-    return profile.null_counts(inputs.people(t), ["country", "age", "date_str", "price"])
+    return profile.null_counts(inputs.people(t))
 
 
-_NDV_COLUMNS = ["o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"]
+_NDV_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
 
 @query(
@@ -72,7 +73,7 @@ _NDV_COLUMNS = ["o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"]
 )
 def ndv_counts(t: Tables) -> DataFrame:
     """The estimates of distinct values, checked against exact counts."""
-    estimate = profile.ndv_counts(t.orders, _NDV_COLUMNS)
+    estimate = profile.ndv_counts(t.orders)
     exact = t.orders.select(*[F.count_distinct(c).alias(c) for c in _NDV_COLUMNS])
     exact = exact.unpivot([], _NDV_COLUMNS, "column_name", "exact")
     error = F.abs(F.col("ndv") - F.col("exact")) / F.col("exact")

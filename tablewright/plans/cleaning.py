@@ -139,20 +139,23 @@ def assign_identity(t: Tables) -> DataFrame:
     )
 
 
-_NUMERIC = ["o_orderkey", "o_custkey", "o_totalprice"]
-
-
 @query(
     f"""SELECT column_name, count(*) AS row_count, count(*) - count(v) AS nulls, min(v) AS min_value, max(v) AS max_value,
-      TRUE AS ndv_plausible, TRUE AS median_inside
-    FROM (SELECT 'o_orderkey' AS column_name, CAST(o_orderkey AS DOUBLE) AS v FROM orders
-          UNION ALL SELECT 'o_custkey', CAST(o_custkey AS DOUBLE) FROM orders
-          UNION ALL SELECT 'o_totalprice', o_totalprice FROM orders) GROUP BY column_name"""
+      min(s) AS min_text, max(s) AS max_text, TRUE AS ndv_plausible, TRUE AS median_inside
+    FROM (SELECT 'o_orderkey' AS column_name, CAST(o_orderkey AS DOUBLE) AS v, NULL AS s FROM orders
+          UNION ALL SELECT 'o_custkey', CAST(o_custkey AS DOUBLE), NULL FROM orders
+          UNION ALL SELECT 'o_totalprice', o_totalprice, NULL FROM orders) GROUP BY column_name
+    UNION ALL
+    SELECT column_name, count(*), count(*) - count(s), NULL, NULL, min(s), max(s), TRUE, NULL
+    FROM (SELECT 'o_orderstatus' AS column_name, o_orderstatus AS s FROM orders
+          UNION ALL SELECT 'o_orderpriority', o_orderpriority FROM orders
+          UNION ALL SELECT 'o_orderdate', strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') FROM orders) GROUP BY column_name"""
 )
 def profile_table(t: Tables) -> DataFrame:
     """Rows, NULLs, distinct values, minimum, median and maximum in one pass."""
-    measured = profiling.profile(t.orders, _NUMERIC)
-    low, middle, high = (F.col(c).cast("double") for c in ("min", "median", "max"))
+    measured = profiling.profile(t.orders)
+    numeric = F.col("column_name").isin(profiling.numeric_columns(t.orders))
+    low, middle, high = (F.when(numeric, F.col(c).try_cast("double")) for c in ("min", "median", "max"))
     filled = F.col("row_count") - F.col("nulls")
     return measured.select(
         "column_name",
@@ -160,6 +163,8 @@ def profile_table(t: Tables) -> DataFrame:
         "nulls",
         low.alias("min_value"),
         high.alias("max_value"),
+        F.when(~numeric, F.col("min")).alias("min_text"),
+        F.when(~numeric, F.col("max")).alias("max_text"),
         # The estimate is off by a few percent at most, and never beyond the filled rows by more.
         ((F.col("ndv") >= 1) & (F.col("ndv") <= filled * 1.2)).alias("ndv_plausible"),
         ((low <= middle) & (middle <= high)).alias("median_inside"),
@@ -167,15 +172,16 @@ def profile_table(t: Tables) -> DataFrame:
 
 
 @query(
-    """SELECT column_name, probability, TRUE AS close FROM (VALUES ('l_quantity'), ('l_extendedprice'), ('l_tax')) c(column_name),
+    """SELECT column_name, probability, TRUE AS close FROM (VALUES ('l_orderkey'), ('l_partkey'), ('l_suppkey'), ('l_linenumber'),
+        ('l_quantity'), ('l_extendedprice'), ('l_discount'), ('l_tax')) c(column_name),
       (VALUES (CAST(0 AS DOUBLE)), (CAST(0.5 AS DOUBLE)), (CAST(1 AS DOUBLE))) p(probability)"""
 )
 def quantiles(t: Tables) -> DataFrame:
     """Minimum, median and maximum; the rank each estimate has is checked in one more pass."""
-    columns = ["l_quantity", "l_extendedprice", "l_tax"]
-    found = profiling.quantiles(t.lineitem, columns)
+    columns = profiling.numeric_columns(t.lineitem)
+    found = profiling.quantiles(t.lineitem)
     values = found.groupBy().pivot("column_name", columns).agg(F.sort_array(F.collect_list(F.struct("probability", "value"))))
-    # One row with nine numbers beside the table.
+    # One row with three numbers a column beside the table.
     ranks = values.select(*[F.col(f"{c}.value").alias(f"q_{c}") for c in columns])
     points = {c: ranks.select(f"q_{c}").scalar() for c in columns}
     counted = t.lineitem.agg(

@@ -92,7 +92,7 @@ def secure_view(t: Tables) -> DataFrame:
     SELECT event_time, email AS user_email, action_name, resource AS object_name, source_ip_address FROM audit
     WHERE action_name IN {inputs.AUDIT_ACTIONS_SQL} AND resource LIKE 'production_data%'
       AND event_time >= TIMESTAMP '2024-01-30 12:00:00' - INTERVAL 7 DAY
-    ORDER BY event_time DESC LIMIT 100"""
+    ORDER BY event_time DESC, user_email, action_name, object_name, source_ip_address LIMIT 100"""
 )
 def audit_recent(t: Tables) -> DataFrame:
     return audit.audit_recent(inputs.audit_log(t), inputs.AUDIT_ACTIONS, "production_data", inputs.AUDIT_NOW)

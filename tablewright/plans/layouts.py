@@ -115,7 +115,7 @@ def file_health(t: Tables) -> DataFrame:
     """Files and bytes of each given table. File sizes are not visible to SQL."""
     table = F.regexp_extract("path", r"([^/]+)\.parquet(?:/|$)", 1)
     files = io.list_files(t.spark, t.folder).withColumn("table_name", table)
-    return layout.file_health(files).orderBy(F.desc("num_files"), "table_name").limit(100)
+    return layout.file_health(files).orderBy(F.desc("num_files"), "table_name")
 
 
 @query(

@@ -73,10 +73,32 @@ def peek(t: Tables) -> DataFrame:
     return t.lineitem.limit(5).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+@query("SELECT count(*) AS row_count, TRUE AS size_plausible, TRUE AS within_table, TRUE AS repeatable FROM lineitem")
 def sample_rows(t: Tables) -> DataFrame:
-    """A sample of one in a thousand rows, drawn with a seed."""
-    return t.lineitem.sample(withReplacement=False, fraction=0.001, seed=42)
+    """A sample of one in a thousand rows, drawn with a seed: its size, its origin, and that the seed gives it again."""
+    keys = ["l_orderkey", "l_linenumber"]
+
+    def drawn(flag: str) -> DataFrame:
+        rows = t.lineitem.sample(withReplacement=False, fraction=0.001, seed=42).select(*keys)
+        return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(flag))
+
+    present = t.lineitem.groupBy(*keys).agg(F.count(F.lit(1)).alias("present"))
+    rows = present.join(drawn("first"), keys, "full_outer").join(drawn("second"), keys, "full_outer")
+    first, second = F.coalesce("first", F.lit(0)), F.coalesce("second", F.lit(0))
+    totals = rows.agg(
+        F.sum("present").alias("row_count"),
+        F.sum(first).alias("n"),
+        F.count_if(first > F.coalesce("present", F.lit(0))).alias("foreign"),
+        F.count_if(first != second).alias("changed"),
+    )
+    # Six standard deviations of a binomial count, and one row for tiny tables.
+    expected = F.col("row_count") * 0.001
+    return totals.select(
+        "row_count",
+        (F.abs(F.col("n") - expected) <= 6 * F.sqrt(expected) + 1).alias("size_plausible"),
+        (F.col("foreign") == 0).alias("within_table"),
+        (F.col("changed") == 0).alias("repeatable"),
+    )
 
 
 @query(
@@ -89,9 +111,10 @@ def union_by_name(t: Tables) -> DataFrame:
     return inputs.sales_loaded(t).unionByName(updates)
 
 
-@query("SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem")
+@query("SELECT DISTINCT * FROM lineitem")
 def drop_duplicates(t: Tables) -> DataFrame:
-    return t.lineitem.select("l_orderkey", "l_linenumber").dropDuplicates()
+    """Whole rows once each, from the table united with itself."""
+    return t.lineitem.unionAll(t.lineitem).dropDuplicates()
 
 
 @query(

@@ -105,3 +105,10 @@ def test_masks(spark):
     capped = df.select(masks.mask_salary(F.col("s"), {masks.MANAGERS}).alias("s"))
     assert [None if r.s is None else str(r.s) for r in capped.collect()] == ["100000.00", "10.00", None]
     assert dict(capped.dtypes)["s"] == "decimal(10,2)"
+
+
+def test_profile_of_odd_columns(spark):
+    df = spark.createDataFrame([(1, {"k": 1}), (None, None)], "`a.b` int, m map<string,int>")
+    assert {r["column_name"]: r["nulls"] for r in null_counts(df).collect()} == {"a.b": 1, "m": 1}
+    found = {r["column_name"]: r for r in profile(df, ["a.b"]).collect()}
+    assert (found["a.b"]["min"], found["a.b"]["max"]) == ("1", "1")
