@@ -7,9 +7,10 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tablewright.llm.attention import END, WINDOW, Attention, train, windows
+from tablewright.llm.attention import END, START, WINDOW, Attention, packed, train, unpacked, windows
 from tablewright.llm.common import permuted
 from tablewright.llm.lm_scores import scored, words_of
+from tablewright.llm import lm_scores
 from tablewright.llm.mixing import mixed_documents, mixed_sources
 from tablewright.llm.order_minhash import fingerprints
 from tablewright.llm.pieces import decoded, encoded
@@ -187,3 +188,19 @@ def test_scores(docs):
         w = [*words_of(dict(texts)[r["doc_id"]]), None]
         assert r["n_tokens"] == len(w) and r["train_tokens"] == n and r["n_known"] == sum(c[x] > 0 for x in w)
         assert math.isclose(r["base_score"], sum(math.log10((c[x] + 1) / (n + v + 1)) for x in w))
+
+
+def test_every_training_piece_is_a_target_once():
+    for n in (1, 31, 32, 33, 100):
+        ids = np.arange(n)
+        x, y, use = unpacked(packed(ids))
+        assert y[use].tolist() == ids.tolist() and x[use].tolist() == [START, *ids[:-1]]
+
+
+def test_long_texts_and_all_parts_train(spark, monkeypatch):
+    monkeypatch.setattr(lm_scores, "_BATCH", 4)
+    text = "alpha beta gamma delta. " * 40_000  # above what one text used to have at most
+    rows = [(i, text if i == 0 else f"one two three {i}") for i in range(60)]
+    made = scored(spark.createDataFrame(rows, "doc_id bigint, text string"), steps=40).collect()
+    long = next(r for r in made if r["doc_id"] == 0)
+    assert not long["held_out"] and long["score"] / long["n_tokens"] > math.log10(0.5)  # its word counts give below 0.25
