@@ -27,7 +27,7 @@ def single(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages that stood before; ``n_chars`` follows the text."""
-    cut = without_repeated_spans(docs).select(*docs.columns)
+    cut = without_repeated_spans(docs, extend=True).select(*docs.columns)
     return cut.withColumn("n_chars", F.char_length("text").cast("bigint"))
 
 

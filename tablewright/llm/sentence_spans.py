@@ -19,21 +19,30 @@ _SENTENCE = re.compile(SENTENCE)
 _SPACE = " \t\n\x0b\x0c\r"
 
 
-def runs_of(text: str, run: int, min_words: int, long_words: int) -> tuple[list[int], list[int], list[bytes]]:
+def runs_of(text: str, run: int, min_words: int, long_words: int, extend: bool = False) -> tuple[list[int], list[int], list[bytes]]:
     """Where runs begin, how many sentences they have, and their 128-bit hashes.
 
     A run is ``run`` consecutive sentences with ``min_words`` words in all; a sentence of
-    ``long_words`` words is as long as several and a run by itself.
+    ``long_words`` words is as long as several and a run by itself. With ``extend`` a run
+    that has too few words takes in the sentences behind it until it has enough.
     """
     units = [sentence.lower().encode().split() for sentence in _SENTENCE.findall(text)]
     marks = [xxhash.xxh3_128_digest(b" ".join(words)) for words in units]
     sizes = np.array([len(words) for words in units], np.int64)
     at, length, hashes = [], [], []
     ends = np.r_[0, np.cumsum(sizes)]
-    for i in np.flatnonzero(ends[run:] - ends[:-run] >= min_words) if len(units) >= run else ():
-        at.append(int(i))
-        length.append(run)
-        hashes.append(xxhash.xxh3_128_digest(b"".join(marks[i : i + run])))
+    if extend:
+        begins = np.arange(len(units))
+        stops = np.maximum(np.searchsorted(ends, ends[:-1] + min_words), begins + run)
+        begins = begins[stops <= len(units)]
+        stops = stops[: len(begins)]
+    else:
+        begins = np.flatnonzero(ends[run:] - ends[:-run] >= min_words) if len(units) >= run else np.zeros(0, np.int64)
+        stops = begins + run
+    for i, j in zip(begins.tolist(), stops.tolist()):
+        at.append(i)
+        length.append(j - i)
+        hashes.append(xxhash.xxh3_128_digest(b"".join(marks[i:j])))
     for i in np.flatnonzero(sizes >= long_words):
         at.append(int(i))
         length.append(1)
@@ -48,6 +57,7 @@ def without_repeated_spans(
     run: int = 2,
     min_words: int = 8,
     long_words: int = 20,
+    extend: bool = False,
 ) -> DataFrame:
     """The documents without sentences that a repeated run covers, except where it stands first.
 
@@ -56,6 +66,10 @@ def without_repeated_spans(
     Adds ``n_sentences`` and ``n_removed``; columns of these names are replaced, all others
     kept. NULL and empty texts stay as they are, with 0 sentences. Rows with one id are one
     document as to what stands first: their runs are never removed on account of each other.
+
+    Without ``extend``, as in the SQL of ``op6_sentence_spans``, passages of short sentences
+    stay: no run of them has ``min_words`` words. With it, runs go on until they have; of a
+    repeated passage at most a tail of under ``min_words`` words then stays.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("version"), F.col(text_col).alias("text"))
     schema = T.StructType([rows.schema["id"], T.StructField("version", T.LongType())])
@@ -78,7 +92,7 @@ def without_repeated_spans(
                 )
 
             for i, text in enumerate(batch.column(2)):
-                a, n, h = runs_of(text.as_py() or "", run, min_words, long_words)
+                a, n, h = runs_of(text.as_py() or "", run, min_words, long_words, extend)
                 seen: set[bytes] = set()
                 for mark in h:
                     again.append(mark in seen)

@@ -6,7 +6,9 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tablewright.llm.attention import END, START, WINDOW, Attention, packed, train, unpacked, windows
 from tablewright.llm.common import permuted
 from tablewright.llm.lm_scores import scored, words_of
@@ -61,6 +63,16 @@ def test_repeated_passage_goes(docs):
     assert found[1] is None and found[7] == TEXTS[7]
 
 
+def test_repeated_short_sentences_go(spark):
+    passage = " ".join(f"w{i} v{i}!" for i in range(30))  # 60 words, two in a sentence
+    rows = [(0, f"An opening of one kind stands here. {passage} One end."), (1, f"Some other words come first. {passage} Other end."), (2, passage)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumns({c: F.lit(None).cast("string") for c in ("lang", "source", "n_chars")})
+    made = {r["doc_id"]: r["text"] for r in corpus_pipeline.unrepeated(spark, docs, "").collect()}
+    assert made == {0: rows[0][1], 1: "Some other words come first. Other end.", 2: ""}
+    same = {r["doc_id"]: r["text"] for r in without_repeated_spans(docs).collect()}
+    assert same == dict(rows)  # the rule of op6_sentence_spans, as its SQL has it
+
+
 def test_mix_takes_no_more_than_thrice(docs):
     rows = mixed_sources(docs).collect()
     assert len(rows) == 10 and all(0 <= r["taken"] <= 3 * r["size"] for r in rows)
