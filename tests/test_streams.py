@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from tablewright.operators.cdc import cdc_scd2
 from tablewright.streaming import feed, ingest, sinks
@@ -41,6 +41,43 @@ def test_rescue_mode_keeps_the_schema(spark, folder):
     assert json.loads(found.filter("id = 2").first()._rescued_data) == {"new": "true", "o": '{"p":1}'}
 
 
+def test_nothing_is_lost_inside_structs_or_by_casts(spark, folder):
+    schema = T.StructType.fromDDL("id bigint, d double, b boolean, o struct<p:bigint,s:struct<t:string>>, a array<struct<x:bigint>>")
+    lost = [
+        '{"id":1.5}', '{"id":true}', '{"id":"7"}', '{"id":12345678901234567890}', '{"d":"1.5"}', '{"d":false}', '{"d":12345678901234567891}',
+        '{"b":1}', '{"b":"true"}', '{"o":{"p":1,"q":2}}', '{"o":{"p":1.5,"s":{"t":"k"}}}', '{"o":{"s":{"t":"k","u":[1]}}}', '{"o":7}',
+        '{"a":[{"x":1},{"x":2,"y":3}]}', '{"a":[{"x":true}]}', '{"a":{"x":1}}',
+    ]
+    kept = [
+        '{"id":1,"d":2,"b":true,"o":{"p":100,"s":{"t":"k"}},"a":[{"x":1},null]}', '{"id":null,"o":{"p":null,"z":null},"a":[]}',
+        '{"id":2.0,"d":0.30000000000000004}', '{"d":1e-7,"o":{}}', '{"d":-120,"id":-9223372036854775808}', "{}",
+    ]
+    rows = ingest.parse_json_lines(spark.createDataFrame([(x,) for x in lost + kept], "value string"), schema).collect()
+    for line, row in zip(lost, rows):
+        (name, value), = json.loads(line, parse_float=str, parse_int=int).items()
+        rescued = json.loads(row._rescued_data)
+        assert list(rescued) == [name], line
+        assert rescued[name] == (value if isinstance(value, str) else json.dumps(value, separators=(",", ":")).replace('"1.5"', "1.5")), line
+    assert [r._rescued_data for r in rows[len(lost):]] == [None] * len(kept)
+    assert [r.id for r in rows[:4]] == [None] * 4 and rows[9].o.p == 1 and rows[10].o.p is None and rows[10].o.s.t == "k"
+    assert [e.x for e in rows[13].a] == [1, 2]
+    first = rows[len(lost)]
+    assert (first.id, first.d, first.b, first.o.p, first.o.s.t, first.a[0].x, first.a[1]) == (1, 2.0, True, 100, "k", 1, None)
+    assert rows[len(lost) + 2].d == 0.30000000000000004 and rows[len(lost) + 4].id == -(2**63)
+
+
+def test_nested_fields_are_added(spark, folder):
+    land(spark, f"{folder}/in", '{"id": 1, "o": {"p": 1}, "a": [{"x": 1}]}')
+    run(spark, folder)
+    land(spark, f"{folder}/in", '{"id": 2, "o": {"p": 2, "q": {"r": "s"}}, "a": [{"x": 1, "y": 2}]}')
+    with pytest.raises(Exception, match="o.q"):
+        run(spark, folder, ingest.FAIL)
+    found = run(spark, folder)
+    row = found.filter("id = 2").first()
+    assert row.o.q.r == "s" and row.a[0].y == 2 and row._rescued_data is None
+    assert found.filter("id = 1").first().o.q is None
+
+
 def test_fail_mode_stops_and_can_go_on(spark, folder):
     land(spark, f"{folder}/in", '{"id": 1}')
     run(spark, folder, ingest.FAIL)
