@@ -94,7 +94,10 @@ def op10_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op9_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents with their evidence, their site's rates and whether they are rejected."""
+    """All documents with their evidence, their site's rates and whether they are rejected.
+
+    There is no URL in the table: ``source`` stands in for the host and ``lang`` for the path.
+    """
     return site_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("version")
 
 
