@@ -11,12 +11,17 @@ from tablewright.llm.mixing import mixed_sources
 from tablewright.llm.order_minhash import fingerprints
 from tablewright.llm.pieces import decoded, encoded
 from tablewright.llm.posting_lists import nearest
+from tablewright.llm.prefix_trie import grafted_trie
 from tablewright.llm.quotations import as_messages, linked
 from tablewright.llm.sentence_spans import without_repeated_spans
 from tablewright.llm.site_quality import site_quality
 from tablewright.llm.training_order import training_order
 from tablewright.llm.weighted_minhash import near_duplicates
 
+# CRC-32 of the ASCII text in place of {}, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split({}, ''), lambda ch: ascii(ch)::BIGINT)),
+      lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -154,3 +159,40 @@ def op8_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probabilities of all documents by the attention model, beside those of word counts."""
     return scored(table(spark, sf_dir, "documents"))
+
+
+@query(
+    r"""WITH t AS (
+      SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i
+      FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)),
+    plan AS (
+      SELECT conv_id, n, conv_id - conv_id % 100 AS base, ({crc}) % 6 AS h
+      FROM (SELECT conv_id, count(*) AS n FROM t GROUP BY conv_id)),
+    built AS (
+      SELECT p.conv_id, t.i AS d, role, text FROM plan p JOIN t ON t.conv_id = p.base AND t.i <= p.h
+      UNION ALL
+      SELECT p.conv_id, least(p.h, coalesce(b.n, 0)) + t.i - p.h, role, text
+      FROM plan p JOIN t ON t.conv_id = p.conv_id AND t.i > p.h LEFT JOIN plan b ON b.conv_id = p.base),
+    path AS (
+      SELECT conv_id, d, length(text) AS chars,
+        string_agg(md5(length(role) || ':' || role || text), '') OVER (PARTITION BY conv_id ORDER BY d) AS node
+      FROM built
+      UNION ALL SELECT conv_id, 0, 0, '' FROM plan),
+    step AS (
+      SELECT *, lag(node) OVER w AS parent, lead(node) OVER w IS NULL AS ends FROM path WINDOW w AS (PARTITION BY conv_id ORDER BY d)),
+    nodes AS (
+      SELECT node, min(conv_id) AS conv_id, any_value(d) AS depth, any_value(parent) AS parent, count(*) AS n_convs,
+        any_value(chars) AS chars, coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '') AS ends
+      FROM step GROUP BY node),
+    kids AS (SELECT parent, count(*) AS n FROM nodes GROUP BY parent),
+    whole AS (SELECT n.*, coalesce(k.n, 0) AS n_children FROM nodes n LEFT JOIN kids k ON k.parent = n.node),
+    sums AS (
+      SELECT p.node, sum((w.n_convs - 1) * w.chars) AS saved, count(*) FILTER (WHERE w.n_children = 0) AS leaves
+      FROM whole w JOIN path p ON p.conv_id = w.conv_id AND p.d <= w.depth GROUP BY p.node)
+    SELECT w.conv_id, w.depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children, leaves AS n_leaves,
+      saved::BIGINT AS saved_tokens, sha256(w.ends) AS ends_sha256
+    FROM whole w LEFT JOIN nodes p ON p.node = w.parent JOIN sums s ON s.node = w.node""".replace("{crc}", _CRC32.format("conv_id::VARCHAR"))
+)
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all conversations, rebuilt on the first turns of their block's first one."""
+    return grafted_trie(table(spark, sf_dir, "conversations"))
