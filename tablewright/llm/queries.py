@@ -13,6 +13,7 @@ from tablewright.llm.pieces import decoded, encoded
 from tablewright.llm.posting_lists import nearest
 from tablewright.llm.prefix_trie import grafted_trie
 from tablewright.llm.quotations import as_messages, linked
+from tablewright.llm.repair import damaged, repaired
 from tablewright.llm.sentence_spans import without_repeated_spans
 from tablewright.llm.site_quality import site_quality
 from tablewright.llm.training_order import training_order
@@ -196,3 +197,64 @@ def op3_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The trie of all conversations, rebuilt on the first turns of their block's first one."""
     return grafted_trie(table(spark, sf_dir, "conversations"))
+
+
+def _edit(state: str, cost: str, initial: str, out: str = "''") -> str:
+    return f"{{'c': ({state}).c + {cost}, 'a': ({state}).a || '{initial}', 'o': ({state}).o || {out}}}"
+
+
+def _least(*ways: str) -> str:
+    return f"list_min([{', '.join(ways)}])"
+
+
+_INSERTED_USER = _least("x2", *[_edit(x, "2", "I", "chr(10) || 'user:'") for x in ("x0", "x1", "x3")])
+_FAR = "{'c': 1000000000::BIGINT, 'a': '', 'o': ''}"
+_KEPT = lambda state, initial: _edit(state, f"(CASE WHEN NOT gone AND initial = '{initial}' THEN late ELSE 1000000000 END)", "K", "row")
+_REROLED = lambda state, role: _edit(state, "(CASE WHEN gone THEN 1000000000 ELSE 2 + late END)", "R", f"chr(10) || '{role}:' || text")
+
+
+@query(
+    rf"""WITH RECURSIVE struck AS (
+      SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, ({_CRC32.format("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")}) % 20 AS kind
+      FROM conversations),
+    damaged AS (
+      SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+        CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy
+      FROM struck WHERE kind <> 0),
+    ordered AS (
+      SELECT coalesce('=' || conv_id, '') AS conv, turn, role, text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged),
+    faulty AS (
+      SELECT *, left(role, 1) AS initial, NOT regexp_matches(text, '[^ 	-]') AS blank,
+        row_number() OVER (PARTITION BY conv, role, text ORDER BY i) > 1 AS again,
+        right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) NOT IN ('.', '!', '?') AS open,
+        lag(left(role, 1)) OVER (PARTITION BY conv ORDER BY i) || left(role, 1) NOT IN ('su', 'ua', 'au') AS illegal
+      FROM ordered),
+    rows AS (
+      SELECT *, blank OR again AS gone, (NOT blank AND NOT again AND open)::BIGINT AS late, chr(10) || role || ':' || text AS row FROM faulty),
+    stats AS (
+      SELECT conv, coalesce(max(turn) - min(turn) + 1, 0) - count(DISTINCT turn) AS gaps, count(*) FILTER (WHERE blank) AS blank,
+        count(*) FILTER (WHERE again AND NOT blank) AS duplicate, sum(late) AS truncated, count(*) FILTER (WHERE illegal) AS illegal, count(*) AS n
+      FROM rows GROUP BY conv),
+    walk AS (
+      SELECT conv, 0::BIGINT AS i, {{'c': 0::BIGINT, 'a': '', 'o': ''}} AS x0, {_FAR} AS x1, {_FAR} AS x2, {_FAR} AS x3 FROM stats
+      UNION ALL
+      SELECT conv, i, {_edit("x0", "3", "D")}, {_least(_edit("x1", "3", "D"), _KEPT("x0", "s"))},
+        {_least(_edit("y2", "3", "D"), *[_KEPT(x, "u") for x in ("x0", "x1", "y3")], *[_REROLED(x, "user") for x in ("x0", "x1", "y3")])},
+        {_least(_edit("y3", "3", "D"), _KEPT("y2", "a"), _REROLED("y2", "assistant"))}
+      FROM (SELECT *, {_least("x3", _edit("y2", "2", "I", "chr(10) || 'assistant:'"))} AS y3
+        FROM (SELECT r.conv, r.i, initial, gone, late, row, text, x0, x1, x3, {_INSERTED_USER} AS y2
+          FROM walk w JOIN rows r ON r.conv = w.conv AND r.i = w.i + 1))),
+    done AS (
+      SELECT conv, {_least("x0", "x3", _edit(f"({_INSERTED_USER})", "2", "I", "chr(10) || 'assistant:'"))} AS best
+      FROM walk JOIN stats USING (conv) WHERE i = n)
+    SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+      coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.c, 0) AS cost, coalesce(best.a, '') AS audit,
+      sha256(coalesce(best.o[2:], '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id, coalesce('=' || conv_id, '') AS conv FROM conversations) LEFT JOIN stats USING (conv) LEFT JOIN done USING (conv)"""
+)
+def op13_lattice_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged by a hash of each turn, with their faults and cheapest repair."""
+    rows = table(spark, sf_dir, "conversations")
+    return repaired(damaged(rows), rows)
