@@ -17,6 +17,7 @@ from tablewright.llm.repair import damaged, repaired
 from tablewright.llm.sentence_spans import without_repeated_spans
 from tablewright.llm.site_quality import site_quality
 from tablewright.llm.training_order import training_order
+from tablewright.llm.url_filter import ALLOW, BLOCK, verdicts
 from tablewright.llm.weighted_minhash import near_duplicates
 
 # CRC-32 of the ASCII text in place of {}, bit by bit.
@@ -226,7 +227,8 @@ _REROLED = lambda state, role: _edit(state, "(CASE WHEN gone THEN 1000000000 ELS
       SELECT coalesce('=' || conv_id, '') AS conv, turn, role, text,
         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged),
     faulty AS (
-      SELECT *, left(role, 1) AS initial, NOT regexp_matches(text, '[^ 	-]') AS blank,
+      SELECT *, left(role, 1) AS initial, NOT regexp_matches(text, '[^ 	-
+]') AS blank,
         row_number() OVER (PARTITION BY conv, role, text ORDER BY i) > 1 AS again,
         right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) NOT IN ('.', '!', '?') AS open,
         lag(left(role, 1)) OVER (PARTITION BY conv ORDER BY i) || left(role, 1) NOT IN ('su', 'ua', 'au') AS illegal
@@ -258,3 +260,15 @@ def op13_lattice_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, damaged by a hash of each turn, with their faults and cheapest repair."""
     rows = table(spark, sf_dir, "conversations")
     return repaired(damaged(rows), rows)
+
+
+# Verdict, host and path of each rule.
+URL_RULES = [
+    (ALLOW, "org", "/"), (BLOCK, "example.org", "/es/"), (BLOCK, "example.org", "/en/1"), (ALLOW, "com", "/fr/"), (BLOCK, "com", "/de/"),
+]
+
+
+@query()
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All page URLs with the rule that decides them, or the verdict of boosted trees."""
+    return verdicts(table(spark, sf_dir, "pages"), URL_RULES)
