@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from tablewright.llm.common import mixed, stored
 from tablewright.llm.graph import components
 
-_CACHE = 500_000
+_CACHE = 200_000  # words, as long as a batch is worked on
 _KEY = 40  # bits of a shingle hash that tell shingles of one bucket apart
 _TOGETHER = 2_000  # members of a bucket that are compared in one task
 _BYTES = 64_000_000  # and the size of their sets
@@ -102,6 +102,11 @@ def _unpacked(data: bytes) -> np.ndarray:
     return out.view(np.uint64).ravel()
 
 
+def _typed(columns: dict[str, list]) -> pd.DataFrame:
+    """Columns that keep their elements as they are, also where there are none."""
+    return pd.DataFrame({name: pd.Series(values, dtype=object) for name, values in columns.items()})
+
+
 def _texts(frame: pd.DataFrame) -> dict[str, int]:
     """Distinct texts of a batch and how many documents have each."""
     found: dict[str, int] = {}
@@ -142,7 +147,8 @@ def shared_sets(docs: DataFrame, words: int, least: float, bands: int, rows: int
         bucket = (keys >> np.uint64(_KEY)).astype(np.int64)
         cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True]) if len(keys) else [0]
         pieces = list(zip(cuts[:-1], cuts[1:]))
-        return pd.DataFrame(
+        _HASHES.clear()
+        return _typed(
             {
                 "batch": [frame["batch"].iloc[0]] * len(pieces),
                 "bucket": [int(bucket[i]) for i, _ in pieces],
@@ -170,7 +176,7 @@ def shared_sets(docs: DataFrame, words: int, least: float, bands: int, rows: int
                 out["bucket"].append(frame["bucket"].iloc[0])
                 out["keys"].append(_packed(own[hit]))
                 out["counts"].append(df[at[hit]].tobytes())
-        return pd.DataFrame(out)
+        return _typed(out)
 
     def weigh(frame: pd.DataFrame, back: pd.DataFrame) -> pd.DataFrame:
         out = {"mark": [], "hashes": [], "weights": [], "signature": [], "keys": []}
@@ -206,7 +212,8 @@ def shared_sets(docs: DataFrame, words: int, least: float, bands: int, rows: int
                     "signature": [row.astype(np.uint32).tobytes() for row in drawn],
                     "keys": list(total.astype(np.int64)),
                 }
-        return pd.DataFrame(out)
+            _HASHES.clear()
+        return _typed(out)
 
     kind = "batch bigint, bucket bigint, keys binary, counts binary"
     back = dealt.applyInPandas(send, kind).groupBy("bucket").applyInPandas(add, kind)

@@ -57,6 +57,64 @@ def test_near_duplicates_join_copies_only(docs):
     assert found[2] == 2 and found[3] == 3 and found[7] == 7
 
 
+def unique(n):
+    return [(i, " ".join(f"w{i}x{j}" for j in range(30))) for i in range(n)]
+
+
+@pytest.mark.parametrize("n", [1, 2, 20, 60])
+@pytest.mark.parametrize("batch_chars", [300, 8_000_000])
+def test_tables_without_any_copy(spark, n, batch_chars):
+    rows = near_duplicates(spark.createDataFrame(unique(n), "doc_id bigint, text string"), batch_chars=batch_chars).collect()
+    assert sorted((r["doc_id"], r["class_id"], r["group_id"]) for r in rows) == [(i, i, i) for i in range(n)]
+
+
+def test_a_text_longer_than_a_batch(spark):
+    long = " ".join(f"only{i}" for i in range(3000))
+    rows = [*unique(5), (5, long), (6, f"another start {long}"), (7, " ".join(f"lone{i}" for i in range(3000)))]
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), batch_chars=2000).collect()
+    assert {r["doc_id"]: r["group_id"] for r in found} == {**{i: i for i in range(6)}, 6: 5, 7: 7}
+
+
+def test_links_against_all_pairs(spark):
+    """Groups of all documents, by the weighted Jaccard similarity of every pair that shares a run of words."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.select("doc_id", "text").collect()}
+    sets = {}
+    for i, text in texts.items():
+        words = text.lower().encode().split()
+        runs = [tuple(words[j : j + 5]) for j in range(max(1, len(words) - 4))] if words else []
+        sets[i] = Counter(runs)
+    df = Counter(run for s in sets.values() for run in s)
+    n = len(texts)
+    weight = lambda run, tf: tf * math.log1p(n / (df[run] + n / 10))
+    total = {i: sum(weight(run, tf) for run, tf in s.items()) for i, s in sets.items()}
+    holders = {}
+    for i, s in sets.items():
+        for run in s:
+            if df[run] > 1:
+                holders.setdefault(run, []).append(i)
+    both = Counter()
+    for run, ids in holders.items():
+        for a in range(len(ids)):
+            for b in range(a):
+                both[ids[b], ids[a]] += min(weight(run, sets[ids[a]][run]), weight(run, sets[ids[b]][run]))
+    label = {i: i for i in texts}
+
+    def top(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    empty = [i for i, s in sets.items() if not s]
+    pairs = [p for p, w in both.items() if w / (total[p[0]] + total[p[1]] - w) >= 0.8] + [(empty[0], i) for i in empty[1:]]
+    for a, b in pairs:
+        a, b = sorted((top(a), top(b)))
+        label[b] = a
+    found = {r["doc_id"]: r["group_id"] for r in near_duplicates(docs).collect()}
+    wrong = [i for i in texts if found[i] != top(i)]
+    assert len({top(i) for i in texts}) < n - 50 and not wrong
+
+
 def test_repeated_passage_goes(docs):
     found = {r["doc_id"]: r["text"] for r in without_repeated_spans(docs).collect()}
     assert found[4] == PASSAGE and found[5] == "" and PASSAGE not in found[6] and "Other start" in found[6]
