@@ -175,10 +175,26 @@ def cdc_refresh(
     batch: DataFrame,
     keys: Sequence[str],
     rebuild: Callable[[DataFrame], DataFrame],
+    sequence: str | Sequence[str] | None = None,
+    truncate_when: Column | str | None = None,
 ) -> DataFrame:
-    """``target`` with the keys of ``batch`` rebuilt from the log, which already holds the batch."""
-    rebuilt = rebuild(touched_rows(log, batch, keys))
-    return touched_rows(target, batch, keys, "left_anti").unionByName(rebuilt)
+    """``target`` with the keys of ``batch`` rebuilt from the log, which already holds the batch.
+
+    ``truncate_when`` marks events that empty the table up to their place in the ``sequence``.
+    Where the batch brings the last of them, all that is left is rebuilt from the events
+    behind it; otherwise ``rebuild`` sees the events of the touched keys behind the last one.
+    """
+    if truncate_when is None:
+        return touched_rows(target, batch, keys, "left_anti").unionByName(rebuild(touched_rows(log, batch, keys)))
+    position, truncates = F.struct(*_parts(sequence)), _is(truncate_when)
+    newest = log.filter(truncates).agg(F.max(position).alias("last"))
+    last = newest.scalar()
+    alive = log.filter(~truncates).filter(last.isNull() | (position > last))
+    brought = batch.filter(truncates).agg(F.max(position).alias("own")).join(newest)  # one row each
+    if brought.filter("own = last").count():
+        return rebuild(alive)
+    touched = batch.filter(~truncates)
+    return touched_rows(target, touched, keys, "left_anti").unionByName(rebuild(touched_rows(alive, touched, keys)))
 
 
 def cdc_validate(

@@ -112,7 +112,7 @@ def cdc_scd1(t: Tables) -> DataFrame:
     return cdc.cdc_scd1(inputs.cdc_events(t), ["userId"], "sequenceNum", IS_DELETE, except_cols=TECHNICAL)
 
 
-def _with_truncates(t: Tables) -> DataFrame:
+def with_truncates(t: Tables) -> DataFrame:
     """Expensive signups stand for truncates of the whole table."""
     e = t.events.select(F.col("event_id").alias("sequenceNum"), "value")
     events = inputs.cdc_events(t).join(e, "sequenceNum")
@@ -120,8 +120,7 @@ def _with_truncates(t: Tables) -> DataFrame:
     return events.withColumn("operation", F.when(truncates, F.lit("TRUNCATE")).otherwise(F.col("operation"))).drop("value")
 
 
-@query(
-    """WITH cdc AS (
+CDC_TRUNCATE_SQL = """WITH cdc AS (
       SELECT user_id AS "userId", event_type AS name,
         CASE WHEN event_id % 5 <> 0 THEN 'c' || (event_id % 7) END AS city, event_id AS "sequenceNum",
         CASE WHEN event_type = 'error' THEN 'DELETE' WHEN event_type = 'signup' AND value > 100 THEN 'TRUNCATE'
@@ -132,10 +131,12 @@ def _with_truncates(t: Tables) -> DataFrame:
         (SELECT max("sequenceNum") FROM cdc WHERE operation = 'TRUNCATE'), -1)),
     newest AS (SELECT *, row_number() OVER (PARTITION BY "userId" ORDER BY "sequenceNum" DESC) AS rn FROM alive)
     SELECT "userId", name, city FROM newest WHERE rn = 1 AND operation <> 'DELETE'"""
-)
+
+
+@query(CDC_TRUNCATE_SQL)
 def cdc_scd1_truncate(t: Tables) -> DataFrame:
     return cdc.cdc_scd1(
-        _with_truncates(t),
+        with_truncates(t),
         ["userId"],
         "sequenceNum",
         IS_DELETE,

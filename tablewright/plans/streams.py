@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from tablewright.operators import cdc
 from tablewright.plans import inputs
-from tablewright.plans.history import IS_DELETE, TECHNICAL, history_sql
+from tablewright.plans.history import CDC_TRUNCATE_SQL, IS_DELETE, TECHNICAL, history_sql, with_truncates
 from tablewright.plans.registry import query
 from tablewright.session import scratch
 from tablewright.sources.tables import Tables
 from tablewright.streaming import feed, ingest, sinks
+from tablewright.streaming.cdc_table import CdcTable
 
 _LANDING_FILES = 4
 
@@ -198,6 +199,21 @@ def stream_cdc(t: Tables) -> DataFrame:
         return cdc.cdc_scd2(events, ["userId"], "sequenceNum", IS_DELETE, except_cols=TECHNICAL)
 
     stream = feed.stream_table(t.spark, f"{base}/source", files_per_batch=2)
-    write = sinks.cdc_sink(f"{base}/dim", ["userId"], rebuild)
-    sinks.for_each_batch(stream, write, f"{base}/checkpoint").awaitTermination()
-    return sinks.read_cdc(t.spark, f"{base}/dim", ["userId"])
+    table = CdcTable(f"{base}/dim", ["userId"], rebuild)
+    sinks.for_each_batch(stream, table.write, f"{base}/checkpoint").awaitTermination()
+    return table.read(t.spark)
+
+
+@query(CDC_TRUNCATE_SQL)
+def stream_cdc_truncate(t: Tables) -> DataFrame:
+    """Current users kept by a stream with truncates, which come before and after what they remove."""
+    base = scratch(t.spark, "stream_cdc_truncate")
+    with_truncates(t).repartition(_LANDING_FILES).write.parquet(f"{base}/source")
+
+    def rebuild(events: DataFrame) -> DataFrame:
+        return cdc.cdc_scd1(events, ["userId"], "sequenceNum", IS_DELETE, except_cols=TECHNICAL)
+
+    stream = feed.stream_table(t.spark, f"{base}/source", files_per_batch=1)
+    table = CdcTable(f"{base}/users", ["userId"], rebuild, "sequenceNum", "operation = 'TRUNCATE'", fold_every=2)
+    sinks.for_each_batch(stream, table.write, f"{base}/checkpoint").awaitTermination()
+    return table.read(t.spark)

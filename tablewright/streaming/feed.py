@@ -38,11 +38,12 @@ def inserts_only(path: str, write: Callable[[DataFrame, int], None]) -> Callable
     """Pass on the commits that only insert; a commit that updates or deletes is skipped whole.
 
     Whether a commit does so is looked up in the log itself, because its files may come in
-    different batches.
+    different batches; only the versions between the batch's first and last are read.
     """
 
     def filtered(batch: DataFrame, batch_id: int) -> None:
-        log = batch.sparkSession.read.parquet(path)
+        first, last = batch.agg(F.min(VERSION), F.max(VERSION)).first()
+        log = batch.sparkSession.read.parquet(path).filter(F.col(VERSION).between(first, last))
         changing = touched_rows(log.filter(F.col(CHANGE_TYPE) != INSERT).select(VERSION), batch, [VERSION])
         write(touched_rows(batch, changing, [VERSION], "left_anti"), batch_id)
 

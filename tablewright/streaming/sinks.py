@@ -1,7 +1,7 @@
-"""Streaming sinks: append, keyed upsert, and change data capture.
+"""Streaming sinks: append and keyed upsert.
 
-A stream must not rewrite a large table per batch. The upsert and CDC sinks therefore
-only write what a batch brings, into a folder named after the batch, and readers resolve
+A stream must not rewrite a large table per batch. The upsert sink therefore only
+writes what a batch brings, into a folder named after the batch, and readers resolve
 which rows count. ``fold_upserts`` rewrites the resolved table now and then.
 """
 
@@ -9,15 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tablewright.operators.joins import touched_rows
 from tablewright.operators.ordered import latest
 
 BATCH = "batch_id"
-_BUCKET = "__bucket"
-_BUCKETS = 256
 
 AVAILABLE_NOW = {"availableNow": True}
 
@@ -64,43 +61,3 @@ def read_upserts(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFra
 def fold_upserts(spark: SparkSession, path: str, dst: str, keys: Sequence[str]) -> None:
     """Write the resolved table to a new folder as one batch that any later one replaces."""
     read_upserts(spark, path, keys).write.parquet(f"{dst}/{BATCH}=-1")
-
-
-def _bucket(keys: Sequence[str]) -> Column:
-    return F.pmod(F.hash(*keys), F.lit(_BUCKETS))
-
-
-def cdc_sink(
-    path: str, keys: Sequence[str], rebuild: Callable[[DataFrame], DataFrame]
-) -> Callable[[DataFrame, int], None]:
-    """Maintain the result of a CDC operator over a stream of events in any order.
-
-    Below ``path``: ``log`` keeps all events, ``touched`` the keys of each batch, ``rows``
-    their rebuilt rows. The log is sorted by a bucket of the key, so that rebuilding the
-    keys of a small batch reads only the matching row groups.
-    """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        tagged = batch.withColumn(_BUCKET, _bucket(keys))
-        tagged.repartitionByRange(_BUCKET, *batch.columns).sortWithinPartitions(_BUCKET).write.mode(
-            "overwrite"
-        ).parquet(f"{path}/log/{BATCH}={batch_id}")
-
-        log = spark.read.parquet(f"{path}/log").filter(F.col(BATCH) <= batch_id)
-        touched = log.filter(F.col(BATCH) == batch_id).select(*keys, _BUCKET).distinct()
-        touched.drop(_BUCKET).write.mode("overwrite").parquet(f"{path}/touched/{BATCH}={batch_id}")
-        buckets = [r[0] for r in touched.select(_BUCKET).distinct().collect()]  # at most 256
-        if not buckets:
-            return
-        candidates = log.filter(F.col(_BUCKET).isin(buckets)).drop(_BUCKET, BATCH)
-        mine = spark.read.parquet(f"{path}/touched/{BATCH}={batch_id}")
-        rebuild(touched_rows(candidates, mine, keys)).write.mode("overwrite").parquet(f"{path}/rows/{BATCH}={batch_id}")
-
-    return write
-
-
-def read_cdc(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """The maintained table: of each key the rows written by the last batch that touched it."""
-    last = spark.read.parquet(f"{path}/touched").groupBy(*keys).agg(F.max(BATCH).alias(BATCH))
-    return touched_rows(spark.read.parquet(f"{path}/rows"), last, [*keys, BATCH]).drop(BATCH)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F, types as T
 
 from tablewright.operators.cdc import cdc_scd2
 from tablewright.streaming import feed, ingest, sinks
+from tablewright.streaming.cdc_table import CdcTable
 
 
 def land(spark, path, *lines):
@@ -111,7 +112,7 @@ def test_upserts_are_resolved_and_folded(spark, folder):
 def test_cdc_sink_takes_late_events_and_replays(spark, folder):
     schema = "id int, v string, op string, seq int"
     rebuild = lambda e: cdc_scd2(e, ["id"], "seq", "op = 'D'", except_cols=["op", "seq"])
-    write = sinks.cdc_sink(f"{folder}/dim", ["id"], rebuild)
+    table = CdcTable(f"{folder}/dim", ["id"], rebuild)
     batches = [
         [(1, "a", "U", 1), (1, "c", "U", 9), (2, "x", "U", 2)],
         [(1, "b", "U", 5)],
@@ -120,9 +121,9 @@ def test_cdc_sink_takes_late_events_and_replays(spark, folder):
     ]
     for number, batch in enumerate(batches):
         for _ in range(2):
-            write(spark.createDataFrame(batch, schema), number)
+            table.write(spark.createDataFrame(batch, schema), number)
     everything = spark.createDataFrame([e for b in batches for e in b], schema)
-    found = sinks.read_cdc(spark, f"{folder}/dim", ["id"])
+    found = table.read(spark)
     expected = rebuild(everything)
     assert found.select(expected.columns).exceptAll(expected).count() == 0
     assert found.count() == expected.count() == 4
