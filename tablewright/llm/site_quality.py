@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tablewright.llm.common import stored
@@ -46,20 +46,61 @@ def shape(text: str | None) -> list[float]:
     ]
 
 
-def tokens(text: str | None) -> set[str]:
-    return set(_TOKEN.findall((text or "").lower()))
+class _Hashes(dict):
+    def __missing__(self, word: str) -> int:
+        self[word] = number = xxhash.xxh32_intdigest(word)
+        return number
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float, rounds: int = 25) -> np.ndarray:
-    """Weights of a ridge logistic regression by Newton's method; the last one is the intercept."""
+_HASHES = _Hashes()
+_CACHE = 100_000  # words
+
+
+def words_of(text: str | None) -> np.ndarray:
+    """32-bit hashes of the distinct words of a text, lower-cased, in order."""
+    found = set(_TOKEN.findall((text or "").lower()))
+    if len(_HASHES) > _CACHE:
+        _HASHES.clear()
+    known = _HASHES if len(found) < _CACHE else _Hashes()
+    return np.unique(np.fromiter(map(known.__getitem__, found), np.uint32, len(found)))
+
+
+def features(rows: DataFrame) -> DataFrame:
+    """``shape`` and ``words`` in place of ``text``, as packed numbers; each text is read once, one at a time."""
+    kind = rows.drop("text").schema.add("shape", "binary").add("words", "binary")
+    kept = [f.name for f in kind.fields[:-2]]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shapes, words = [], []
+            for value in batch.column(batch.schema.get_field_index("text")):
+                text = value.as_py()
+                shapes.append(np.array(shape(text)).tobytes())
+                words.append(words_of(text).tobytes())
+            columns = [batch.column(batch.schema.get_field_index(name)) for name in kept]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(shapes, pa.binary()), pa.array(words, pa.binary())], names=[*kept, "shape", "words"])
+        _HASHES.clear()
+
+    return rows.mapInArrow(work, kind)
+
+
+def _unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Shapes as a matrix, the words of all rows, and the row that each word is of."""
+    shapes, words = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("shape", "words"))
+    flat = np.frombuffer(b"".join(words), np.uint32)
+    return np.frombuffer(b"".join(shapes), np.float64).reshape(len(shapes), -1), flat, np.repeat(np.arange(len(words)), [len(w) // 4 for w in words])
+
+
+def logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray, ridge: float, rounds: int = 25) -> np.ndarray:
+    """Weights of a ridge logistic regression by Newton's method; the last one is the intercept. Rows count ``n`` times."""
     x = np.c_[x, np.ones(len(x))]
     w = np.zeros(x.shape[1])
     penalty = np.full(x.shape[1], ridge)
     penalty[-1] = 1e-3
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        v = np.maximum(p * (1 - p), 1e-6)
-        step = np.linalg.solve((x * v[:, None]).T @ x + np.diag(penalty), x.T @ (y - p) - penalty * w)
+        v = n * np.maximum(p * (1 - p), 1e-6)
+        step = np.linalg.solve((x * v[:, None]).T @ x + np.diag(penalty), x.T @ (n * (y - p)) - penalty * w)
         w += step
         if np.abs(step).max() < 1e-6:
             break
@@ -68,50 +109,52 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float, rounds: int = 25) -> np
 
 @dataclass
 class Model:
-    words: dict[str, int]
+    words: np.ndarray  # hashes in order
     mean: np.ndarray
     scale: np.ndarray
-    weights: np.ndarray  # one column per label
+    weights: np.ndarray  # one column per label: shape, words, intercept
+
+    def inputs(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Scaled shapes, and the places (row, word) of the words that count."""
+        shapes, words, rows = _unpacked(batch)
+        at = np.searchsorted(self.words, words)
+        at[at == len(self.words)] = 0
+        hit = self.words[at] == words if len(self.words) else np.zeros(len(words), bool)
+        return np.clip((shapes - self.mean) / self.scale, -8, 8), rows[hit], at[hit]
 
-    def evidence(self, texts) -> np.ndarray:
+    def evidence(self, batch: pa.RecordBatch) -> np.ndarray:
         """Probability of each text that one of the labels holds against it."""
-        x = (np.array([shape(t) for t in texts]).reshape(len(texts), -1) - self.mean) / self.scale
-        logits = np.clip(x, -8, 8) @ self.weights[: x.shape[1]] + self.weights[-1]
-        for i, text in enumerate(texts):
-            for word in tokens(text) & self.words.keys():
-                logits[i] += self.weights[x.shape[1] + self.words[word]]
+        x, rows, words = self.inputs(batch)
+        logits = x @ self.weights[: x.shape[1]] + self.weights[-1]
+        np.add.at(logits, rows, self.weights[x.shape[1] + words])
         return 1 - np.prod(1 / (1 + np.exp(np.clip(logits, -30, 30))), axis=1)
 
 
 def train(labelled: DataFrame, max_rows: int = 20_000, max_words: int = 300, ridge: float = 1.0) -> Model | None:
-    """Fit on ``text`` and ``against``, an array of 0 and 1 with an element for each label.
+    """Fit on ``shape``, ``words`` and ``against``, an array of 0 and 1 with an element for each label.
 
     Which words speak for a label is counted over all labelled texts; those with the
     strongest association, ``max_words`` per label, become features beside the shape. The
-    weights are fitted on at most ``max_rows`` texts, those with the smallest hash.
+    weights are fitted on about ``max_rows`` texts at most, those with the smallest hashes; equal ones
+    are one row that counts as often as they stand.
     """
-    labelled = stored(labelled, "labelled")
     totals = labelled.agg(F.count("*"), F.array(*[F.sum(F.col("against")[i]) for i in range(2)])).first()
     n, positive = totals[0], totals[1]
     if not n:
         return None
 
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            all_, each = Counter(), [Counter(), Counter()]
-            for text, against in zip(frame["text"], frame["against"]):
-                found = tokens(text)
-                all_.update(found)
-                for i, value in enumerate(against):
-                    if value:
-                        each[i].update(found)
-            yield pd.DataFrame(
-                {"word": list(all_), "n": list(all_.values()), "a": [each[0][w] for w in all_], "b": [each[1][w] for w in all_]}
-            )
-
-    counts = labelled.mapInPandas(count, "word string, n bigint, a bigint, b bigint")
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, words, rows = _unpacked(batch)
+            against = np.array(batch.column(batch.schema.get_field_index("against")).to_pylist(), np.int64).reshape(-1, 2)
+            distinct, which = np.unique(words, return_inverse=True)
+            sums = [np.bincount(which, against[rows, i], len(distinct)).astype(np.int64) for i in range(2)]
+            all_ = np.bincount(which, minlength=len(distinct)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (distinct.astype(np.int64), all_, *sums)], names=["word", "n", "a", "b"])
+
+    counts = labelled.select("shape", "words", "against").mapInArrow(count, "word bigint, n bigint, a bigint, b bigint")
     counts = stored(counts.groupBy("word").agg(F.sum("n").alias("n"), F.sum("a").alias("a"), F.sum("b").alias("b")), "label-words")
-    words: dict[str, int] = {}
+    chosen: set[int] = set()
     for name, label in zip("ab", positive):
         if not label or label == n:
             continue
@@ -120,34 +163,31 @@ def train(labelled: DataFrame, max_rows: int = 20_000, max_words: int = 300, rid
             share * (1 - share) * (1 / label + 1 / (n - label))
         )
         best = counts.filter((F.col("n") >= 5) & (F.col("n") < n)).withColumn("z", z).filter("z > 5")
-        for row in best.orderBy(F.desc("z"), "word").limit(max_words).collect():
-            words.setdefault(row["word"], len(words))
-
-    def features(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yield pd.DataFrame(
-                {
-                    "shape": [shape(t) for t in frame["text"]],
-                    "words": [[words[w] for w in tokens(t) & words.keys()] for t in frame["text"]],
-                    "against": frame["against"],
-                }
-            )
-
-    drawn = labelled.orderBy(F.xxhash64("text"), "text").limit(max_rows) if n > max_rows else labelled
-    rows = drawn.mapInPandas(features, "shape array<double>, words array<int>, against array<int>").collect()
-    x = np.array([r["shape"] for r in rows])
-    mean, scale = x.mean(0), x.std(0) + 1e-3
-    x = np.clip((x - mean) / scale, -8, 8)
-    flags = np.zeros((len(rows), len(words)))
-    for i, r in enumerate(rows):
-        flags[i, r["words"]] = 1
-    y = np.array([r["against"] for r in rows], float)
+        chosen.update(row["word"] for row in best.orderBy(F.desc("z"), "word").limit(max_words).collect())
+
+    part = F.pmod(F.xxhash64("shape", "words"), F.lit(1 << 32)) < int((1 << 32) * min(1.0, max_rows / n))
+    drawn = labelled.filter(part).groupBy("shape", "words", "against").agg(F.count("*").cast("double").alias("times"))
+    drawn = drawn.orderBy("shape", "words", "against").toArrow().combine_chunks()
+    batch = drawn.to_batches()[0] if drawn.num_rows else None
+    if batch is None:
+        return None
+    shapes, times = _unpacked(batch)[0], np.array(batch.column("times"))
+    mean = np.average(shapes, 0, times)
+    scale = np.sqrt(np.average((shapes - mean) ** 2, 0, times)) + 1e-3
+    model = Model(np.array(sorted(chosen), np.uint32), mean, scale, np.zeros(0))
+    x, rows, words = model.inputs(batch)
+    flags = np.zeros((len(x), len(chosen)))
+    flags[rows, words] = 1
     full = np.c_[x, flags]
-    weights = [
-        logistic(full, y[:, i], ridge) if 0 < y[:, i].sum() < len(y) else np.r_[np.zeros(full.shape[1]), -9.0 if not y[:, i].any() else 9.0]
-        for i in range(y.shape[1])
-    ]
-    return Model(words, mean, scale, np.array(weights).T)
+    y = np.array(batch.column("against").to_pylist(), float)
+
+    def fitted(label: np.ndarray) -> np.ndarray:
+        if label.min() == label.max():
+            return np.r_[np.zeros(full.shape[1]), 9.0 if label[0] else -9.0]
+        return logistic(full, label, times, ridge)
+
+    model.weights = np.array([fitted(label) for label in y.T]).T
+    return model
 
 
 def strength(deviation: float, groups: int, n: float, squares: float, m: float, levels: int) -> float:
@@ -183,7 +223,8 @@ def site_quality(
     of one document has the rate of the level above. The posterior adds to the log odds of the evidence how
     far the odds of the path lie from the global ones; from ``limit`` on a document is rejected.
 
-    NULL texts count as empty; NULL hosts and paths are groups of their own. Labels without
+    Texts are read once, for their features; only these are joined with the labels, of which there may be
+    as many as documents. NULL texts count as empty; NULL hosts and paths are groups of their own. Labels without
     a document, or with NULL, are not used; repeated ones are used as often as they stand.
     Without any label nothing is rejected. ``version`` is a hash of the text.
     """
@@ -191,18 +232,20 @@ def site_quality(
         F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
         F.col(host_col).cast("string").alias("host"), F.col(path_col).cast("string").alias("path"),
     )
+    rows = stored(features(rows.withColumn("version", F.xxhash64("text"))), "features")
     against = F.array((F.col("quality") == 0).cast("int"), (F.col("toxic") == 1).cast("int"))
     known = labels.select(F.col(id_col).alias("id"), against.alias("against")).filter("array_position(transform(against, x -> x is null), true) = 0")
-    model = train(rows.join(known, "id").select("text", "against"), max_rows)
-    rows = rows.withColumn("version", F.xxhash64("text"))
+    labelled = broadcast_join(rows.select("id", "shape", "words"), known, "id").select("shape", "words", "against")
+    model = train(labelled, max_rows)
 
-    def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            found = model.evidence(frame["text"].tolist()) if model and len(frame) else np.zeros(len(frame))
-            yield frame.drop(columns="text").assign(ppm=np.round(found * 1e6).astype(np.int64))
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = model.evidence(batch) if model else np.zeros(batch.num_rows)
+            kept = [batch.column(batch.schema.get_field_index(c)) for c in ("id", "host", "path", "version")]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(np.round(found * 1e6).astype(np.int64))], names=["id", "host", "path", "version", "ppm"])
 
-    plain = rows.drop("text").schema
-    scored = stored(rows.mapInPandas(score, plain.add("ppm", "long")), "evidence")
+    scored = rows.mapInArrow(score, rows.select("id", "host", "path", "version").schema.add("ppm", "long"))
+    scored = stored(scored, "evidence")
     scored = scored.withColumns({"host": F.coalesce(F.concat(F.lit("="), "host"), F.lit("")), "path": F.coalesce(F.concat(F.lit("="), "path"), F.lit(""))})
 
     paths = stored(scored.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("ppm").alias("s")), "paths")

@@ -154,6 +154,64 @@ def test_without_labels_nothing_is_rejected(spark, docs):
     assert len(rows) == 10 and not any(r["rejected"] for r in rows)
 
 
+def test_site_rates_against_plain_python(spark):
+    """Trained on labels; rates and posteriors follow from the evidence as plain loops have them."""
+    rng = np.random.default_rng(5)
+    rows, labels = [], []
+    for i in range(900):
+        site = f"h{i % 6}"
+        bad = rng.random() < (0.7 if i % 6 == 0 else 0.1)
+        words = rng.choice(["buy", "cheap", "pills", "now"] if bad else ["the", "river", "flows", "past"], 12)
+        rows.append((i, " ".join([*words, *rng.choice(["a", "of", "and", "so"], 10)]), site, f"p{i % 4}", None))
+        if i % 3:
+            labels.append((i, int(not bad), 0))
+    rows += [rows[0], (None, None, None, None, "x"), (901, "", "alone", None, "x"), (902, "river " * 50_000, "h1", "p1", "")]
+    labels += [labels[0], (5000, 0, 0), (None, 1, 0), (2, None, 0)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string, `hn` string")
+    found = site_quality(docs, spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")).collect()
+    assert len(found) == len(rows)
+    where = {r[0]: ((r[2] is None, r[2]), (r[3] is None, r[3])) for r in rows}
+    e = [(where[r["doc_id"]], round(r["evidence"] * 1e6)) for r in found]
+    n, m = len(e), sum(p for _, p in e) / 1e6 / len(e)
+    hosts, paths = {}, {}
+    for (host, path), p in e:
+        hosts.setdefault(host, []).append(p)
+        paths.setdefault((host, path), []).append(p)
+    mean = lambda v: sum(v) / 1e6 / len(v)
+
+    def prior(deviation, groups, squares, levels):
+        rho = (deviation / (m * (1 - m)) - (groups - levels)) / (n - squares - (groups - levels))
+        return 1 / min(max(rho, 1e-4), 0.5) - 1
+
+    host_prior = prior(sum(len(v) * (mean(v) - m) ** 2 for v in hosts.values()), len(hosts), sum(len(v) ** 2 for v in hosts.values()) / n, 1)
+    path_prior = prior(
+        sum(len(v) * (mean(v) - mean(hosts[k[0]])) ** 2 for k, v in paths.items()), len(paths), sum(len(v) ** 2 / len(hosts[k[0]]) for k, v in paths.items()), len(hosts)
+    )
+    logit = lambda p: math.log(min(max(p, 1e-6), 1 - 1e-6) / (1 - min(max(p, 1e-6), 1 - 1e-6)))
+    for r, (key, p) in zip(found, e):
+        host, path = hosts[key[0]], paths[key]
+        host_rate = ((sum(host) - p) / 1e6 + host_prior * m) / (len(host) - 1 + host_prior)
+        path_rate = ((sum(path) - p) / 1e6 + path_prior * host_rate) / (len(path) - 1 + path_prior)
+        odds = logit(r["evidence"]) + logit(path_rate) - logit(m)
+        assert math.isclose(r["host_rate"], host_rate, rel_tol=1e-9) and math.isclose(r["path_rate"], path_rate, rel_tol=1e-9)
+        assert math.isclose(r["posterior"], 1 / (1 + math.exp(-odds)), rel_tol=1e-9) and r["rejected"] == (r["posterior"] >= 0.5)
+    truth = {r[0]: r[1] is not None and "buy" in r[1] + "pills" and any(w in r[1] for w in ("buy", "cheap", "pills", "now")) for r in rows[:900]}
+    unlabelled = [r for r in found if r["doc_id"] is not None and r["doc_id"] < 900 and r["doc_id"] % 3 == 0]
+    assert np.mean([r["rejected"] == truth[r["doc_id"]] for r in unlabelled]) > 0.97
+
+
+def test_quality_on_held_out_labels(spark):
+    """Trained on half of the labels of sf0.01, judged on the other half."""
+    folder = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    half = site_quality(docs, labels.filter("doc_id % 2 = 0")).select("doc_id", "rejected")
+    rows = half.join(labels.filter("doc_id % 2 = 1"), "doc_id").collect()
+    bad = [r["rejected"] for r in rows if r["quality"] == 0 or r["toxic"] == 1]
+    good = [r["rejected"] for r in rows if r["quality"] == 1 and r["toxic"] == 0]
+    assert np.mean(bad) > 0.75 and np.mean(good) < 0.02
+
+
 def test_fingerprints(docs):
     rows = fingerprints(docs).collect()
     assert len(rows) == 10
