@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tablewright.llm.common import SPACE, stored
+from tablewright.operators.joins import broadcast_join
 
 
 def signature(text: Column, words: int = 2, together: int = 2, bits: int = 6) -> Column:
     """For each of 2^bits hash ranges that a text reaches, the range and the hash of a tuple.
 
     The text's runs of ``words`` words are numbered by occurrence, and each run with its
-    number gets one hash. A range takes its minimal hash and the ones that follow in hash
+    number gets one hash; this is the form of the method with one hash whose values are parted
+    into ranges instead of many hashes. A range takes its minimal hash and the ones that follow in hash
     order, ``together`` in all, beyond the range where it holds fewer. These stand in the
     tuple in the order in which the text has them, so that moved parts change it.
 
@@ -25,19 +27,16 @@ def signature(text: Column, words: int = 2, together: int = 2, bits: int = 6) ->
         return F.when(F.size(w) > 0, F.sort_array(F.transform(F.sequence(F.lit(0), last), one)))
 
     def numbered(s: Column) -> Column:
-        n = F.size(s)
-        heads = F.filter(F.sequence(F.lit(0), n - 1), lambda j: (j == 0) | (F.get(s, j)["h"] != F.get(s, j - 1)["h"]))
+        # Equal runs are neighbours. The first keeps its hash, the others get one with their number.
+        def number(values: Column) -> Column:
+            def one(x: Column, j: Column) -> Column:
+                before = j - F.array_position(values, x["h"]).cast("int") + 1
+                v = F.when((j > 0) & (F.get(values, j - 1) == x["h"]), F.xxhash64(x["h"], before)).otherwise(x["h"])
+                return F.struct(v.alias("v"), x["i"].alias("i"))
 
-        def per_run(at: Column) -> Column:
-            def group(start: Column, g: Column) -> Column:
-                end = F.coalesce(F.get(at, g + 1), n) - 1
-                return F.transform(
-                    F.sequence(start, end), lambda j: F.struct(F.xxhash64(F.get(s, j)["h"], j - start).alias("v"), F.get(s, j)["i"].alias("i"))
-                )
+            return F.sort_array(F.transform(s, one))
 
-            return F.sort_array(F.flatten(F.transform(at, group)))
-
-        return _let(heads, per_run)
+        return _let(F.transform(s, lambda x: x["h"]), number)
 
     def tuples(v: Column) -> Column:
         n = F.size(v)
@@ -75,22 +74,34 @@ def shown(signature: Column) -> Column:
     return F.concat_ws(".", F.transform(signature, lambda x: F.concat(F.hex(x["at"] + 128), F.lit(":"), F.hex(x["tuple"]))))
 
 
-def successors(keys: DataFrame, columns: list[str], label: str) -> DataFrame:
-    """Distinct keys, each with the next one in ascending order as ``next``; after the last comes the first.
+def _bounds(keys: DataFrame, columns: list[str]) -> list:
+    """The first keys of ranges that hold about as many keys each; as many as there are shuffle partitions."""
+    parts = keys.select(*columns).repartitionByRange(*columns).withColumn("task", F.spark_partition_id())
+    return [r["first"] for r in parts.groupBy("task").agg(F.min(F.struct(*columns)).alias("first")).orderBy("first").collect()]
+
 
-    Range partitions are ordered by themselves. Only the first key of each partition goes
-    through the driver.
+def with_next(once: DataFrame, keys: DataFrame, columns: list[str], values: list[str], made: dict[str, Column]) -> DataFrame:
+    """Rows with ``values`` of the row that follows in the order of ``columns`` as ``next_...``; after the last comes the first.
+
+    Rows are dealt to ranges of keys, once. The first row of a range goes to the range before as well, where
+    it stands last and is dropped again. ``made`` is computed between the shuffle and the look ahead.
     """
-    key = F.struct(*columns)
-    parts = keys.select(*columns).distinct().repartitionByRange(*columns).withColumn("task", F.spark_partition_id())
-    parts = stored(parts, label)
-    heads = parts.groupBy("task").agg(F.min(key).alias("first")).orderBy("task").collect()
-    spark = keys.sparkSession
-    kind = parts.select("task", key.alias("after")).schema
-    after = [(h["task"], heads[(i + 1) % len(heads)]["first"]) for i, h in enumerate(heads)]
-    bounds = spark.createDataFrame(after, kind)
-    row = F.lead(key).over(Window.partitionBy("task").orderBy(*columns))
-    return parts.withColumn("lead", row).join(F.broadcast(bounds), "task").select(*columns, F.coalesce("lead", "after").alias("next"))
+    firsts = _bounds(keys, columns)
+    if not firsts:
+        return once.withColumns(made).withColumns({f"next_{v}": F.col(v) for v in values}).limit(0)
+    spark = once.sparkSession
+    kind = keys.select(F.array(F.struct(*columns)).alias("firsts")).schema
+    bounds = spark.createDataFrame([(firsts,)], kind).scalar()  # one value
+    key, n = F.struct(*columns), len(firsts)
+    rows = once.withColumn("range", F.size(F.filter(bounds, lambda f: f <= key)) - 1)
+    before = F.struct(F.pmod(F.col("range") - 1, F.lit(n)).alias("range"), F.lit(True).alias("extra"))
+    own = F.struct(F.col("range"), F.lit(False).alias("extra"))
+    places = F.when(F.get(bounds, F.col("range")) == key, F.array(own, before)).otherwise(F.array(own))
+    rows = rows.withColumn("place", F.explode(places)).select(*once.columns, "place.range", "place.extra")
+    rows = rows.repartition("range").withColumns(made)
+    along = Window.partitionBy("range").orderBy("extra", *columns)
+    rows = rows.withColumns({f"next_{v}": F.lead(v).over(along) for v in values})
+    return rows.filter("not extra").drop("range", "extra")
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -102,38 +113,30 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Next is the following row by id and then by a hash of the text; NULL ids come first.
     NULL texts count as empty. Repeated rows count as one in this order and have equal
-    results. An empty table gives none. Other columns are not looked at.
+    results. An empty table gives none. Other columns are not looked at. Texts are shuffled once.
     """
     docs = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     docs = docs.withColumn("version", F.xxhash64("text"))
-    order = stored(successors(docs, ["id", "version"], "fingerprint-order"), "fingerprint-next")
-    joins = lambda a, b, i, v: a["id"].eqNullSafe(b[i]) & (a["version"] == b[v])
-
-    once = docs.groupBy("id", "version").agg(F.first("text").alias("text"))
-    once = stored(once.withColumn("signed", signature(F.col("text"), **options)), "fingerprints")
-    sized = once.select(F.col("id").alias("pid"), F.col("version").alias("pversion"), F.expr("char_length(text) div 2").alias("half"))
-    pairs = order.select(F.col("id").alias("oid"), F.col("version").alias("oversion"), "next")
-    pairs = pairs.join(sized, F.col("oid").eqNullSafe(F.col("pid")) & (F.col("oversion") == F.col("pversion"))).drop("pid", "pversion")
-    pairs = pairs.select("oid", "oversion", F.col("next.id").alias("nid"), F.col("next.version").alias("nversion"), "half")
-    heads = once.join(pairs, joins(once, pairs, "nid", "nversion")).select(
-        "oid", "oversion", F.substring(F.col("text"), F.lit(1), F.col("half")).alias("head"), F.col("signed").alias("next_signed")
-    )
-    both = once.join(heads, joins(once, heads, "oid", "oversion")).drop("oid", "oversion")
+    keys = stored(docs.groupBy("id", "version").agg(F.count("*").alias("copies")), "fingerprint-keys")
+    repeated = keys.filter("copies > 1").select(F.col("id").alias("cid"), F.col("version").alias("cversion"), "copies")
+    once = docs.withColumn("copies", F.lit(1).cast("bigint"))
+    if not repeated.isEmpty():
+        same = F.col("id").eqNullSafe(F.col("cid")) & (F.col("version") == F.col("cversion"))
+        found = broadcast_join(docs, repeated, same, "left").drop("cid", "cversion")
+        several = found.filter("copies is not null").groupBy("id", "version", "copies").agg(F.first("text").alias("text"))
+        once = found.filter("copies is null").withColumn("copies", F.lit(1).cast("bigint")).unionByName(several)
+
+    both = with_next(once, keys, ["id", "version"], ["text", "signed"], {"signed": signature(F.col("text"), **options)})
     n = F.char_length("text")
-    edited = F.concat(F.substring(F.col("text"), F.lit(1), n - F.floor(n / 2).cast("int")), F.col("head"))
-    both = both.select("id", "version", n.cast("bigint").alias("n_chars"), edited.alias("edited"), "signed", "next_signed")
-    both = both.withColumn("edited_signed", signature(F.col("edited"), **options))
-    both = both.select(
-        "id", "version", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
-        F.col("signed"), F.col("edited_signed"), "next_signed",
+    edited = F.concat(
+        F.substring(F.col("text"), F.lit(1), n - F.floor(n / 2).cast("int")), F.substring(F.col("next_text"), F.lit(1), F.floor(n / 2).cast("int"))
     )
-    both = stored(both, "fingerprint-pairs")
-    copies = docs.groupBy("id", "version").count().withColumnsRenamed({"id": "cid", "version": "cversion"})
-    rows = both.join(copies, joins(both, copies, "cid", "cversion"))
-    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("count"))))
-    return rows.select(
-        F.col("id").alias(id_col), "n_chars", "edited_sha256", shown(F.col("signed")).alias("fingerprint"),
+    both = both.select("id", "copies", n.cast("bigint").alias("n_chars"), edited.alias("edited"), "signed", F.col("next_signed"))
+    rows = both.withColumn("edited_signed", signature(F.col("edited"), **options)).select(
+        F.col("id").alias(id_col), "copies", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), shown(F.col("signed")).alias("fingerprint"),
         shown(F.col("edited_signed")).alias("edited_fingerprint"),
         likeness(F.col("signed"), F.col("edited_signed")).alias("near_edited"),
         likeness(F.col("signed"), F.col("next_signed")).alias("near_next"),
     )
+    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
+    return rows.drop("copies", "copy")

@@ -12,7 +12,7 @@ import tiktoken
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _CHUNK = re.compile(f" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+")
-_CACHE = 400_000
+_CACHE = 100_000
 _ENCODERS: dict[int, Encoder] = {}
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
@@ -32,18 +32,27 @@ class Encoder:
         self.kind = np.uint16 if self.end < 2**16 else np.uint32
         self.coder = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.cache: dict[str, bytes] = {}
+        self.after_space: dict[str, bytes] = {}
 
     def packed(self, text: str | None) -> bytes:
-        chunks, cache = _CHUNK.findall(text or ""), self.cache
+        text = text or ""
+        if "  " in text:  # spaces in a row may be one token
+            return self._joined(_CHUNK.findall(text), self.cache, "")
+        # What follows a single space up to the next one is encoded by itself with it.
+        first, *parts = text.split(" ")
+        return self._joined(_CHUNK.findall(first), self.cache, "") + self._joined(parts, self.after_space, " ")
+
+    def _joined(self, chunks: list[str], cache: dict[str, bytes], before: str) -> bytes:
         try:
             return b"".join([cache[c] for c in chunks])
         except KeyError:
             if len(cache) > _CACHE:
                 cache.clear()
-            known = cache if len(chunks) < _CACHE else {}
-            for c in (c for c in set(chunks) if c not in known):
-                known[c] = np.array(self.coder.encode_ordinary(c), self.kind).tobytes()
-            return b"".join([known[c] for c in chunks])
+            own = {}  # what is too long to be kept, or too much
+            for c in (c for c in set(chunks) if c not in cache):
+                kept = cache if len(c) < 200 and len(chunks) < _CACHE else own
+                kept[c] = np.array(self.coder.encode_ordinary(before + c), self.kind).tobytes()
+            return b"".join([own[c] if c in own else cache[c] for c in chunks])
 
 
 def encoder(data: bytes) -> Encoder:

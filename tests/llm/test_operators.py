@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 from collections import Counter
 
 import numpy as np
@@ -14,13 +15,14 @@ from tablewright.llm.common import permuted
 from tablewright.llm.lm_scores import scored, words_of
 from tablewright.llm import lm_scores
 from tablewright.llm.mixing import mixed_documents, mixed_sources
-from tablewright.llm.order_minhash import fingerprints
+from tablewright.llm.order_minhash import fingerprints, signature
 from tablewright.llm.pieces import decoded, encoded
 from tablewright.llm.posting_lists import nearest
 from tablewright.llm.quotations import keys_of, linked
 from tablewright.llm.sentence_spans import without_repeated_spans
 from tablewright.llm.site_quality import site_quality
-from tablewright.llm.training_order import training_order
+from tablewright.llm.tokens import VOCABULARY, encoder
+from tablewright.llm.training_order import read_slots, training_order
 from tablewright.llm.weighted_minhash import near_duplicates
 
 KIND = "doc_id bigint, text string, lang string, source string, n_chars bigint, h1 int, `again` string"
@@ -212,6 +214,83 @@ def test_quality_on_held_out_labels(spark):
     assert np.mean(bad) > 0.75 and np.mean(good) < 0.02
 
 
+def test_tokens_are_those_of_the_whole_text():
+    with open(VOCABULARY, "rb") as file:
+        coder = encoder(file.read())
+    rng = np.random.default_rng(8)
+    parts = ["word", "Don't", "é", "12345", " ", "  ", "\n", " \n", "\t", "\u00a0", "\u2003", "...", "x" * 300, "日本", "'s", "a'll b", ""]
+    texts = [" ".join(rng.choice(parts, n)) for n in rng.integers(0, 30, 300)] + ["".join(rng.choice(parts, n)) for n in rng.integers(0, 30, 300)]
+    for text in [*texts, "", " ", "a ", " a", None]:
+        assert np.frombuffer(coder.packed(text), coder.kind).tolist() == coder.coder.encode_ordinary(text or "")
+
+
+def test_shards_hold_every_text_in_the_drawn_order(spark, folder):
+    rng = random.Random(3)
+    rows = [(i % 37 if i % 5 else None, rng.choice([None, "", "short", "some words " * rng.randrange(1, 200), "é\n" * 900]), i) for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, slot int").repartition(5).persist()
+    path = f"file://{folder}" if "://" not in folder else folder
+    index = training_order(docs, path, length=64, shard_records=100).collect()
+    with open(VOCABULARY, "rb") as file:
+        coder = encoder(file.read())
+    expected = Counter()
+    for i, text, _ in rows:
+        ids = [*coder.coder.encode_ordinary(text or ""), coder.end]
+        for part in range(-(-len(ids) // 64)):
+            own = ids[part * 64 : part * 64 + 64]
+            expected[i, part, len(own), tuple(own + [coder.end] * (64 - len(own)))] += 1
+    n = sum(expected.values())
+    records = [tuple(r) for block in read_slots(path) for r in block.tolist()]
+    assert len(records) == n == len(index) and sorted(r["slot"] for r in index) == list(range(n))
+    assert Counter((r["doc_id"], r["part"], r["n_tokens"], records[r["slot"]]) for r in index) == expected
+    assert all((r["shard"], r["position"]) == divmod(r["slot"], 100) for r in index)
+    assert [tuple(r) for block in read_slots(path, 131, 257, 7) for r in block.tolist()] == records[131:257]
+
+
+def test_fingerprints_against_plain_python(spark):
+    """Likeness follows from the signatures by its definition; equal signatures from equal runs."""
+    rng = random.Random(2)
+    rows = [(i // 2, " ".join(rng.choice("abcdefgh") for _ in range(rng.randrange(0, 60)))) for i in range(120)] + [(None, None), (None, "a b")]
+    found = fingerprints(spark.createDataFrame(rows * 2, "doc_id bigint, text string")).collect()
+    assert len(found) == 2 * len(rows)
+    read = lambda x: dict(p.split(":") for p in x.split(".")) if x else {}
+    order, by = [], {}
+    for r in found:
+        a, b = read(r["fingerprint"]), read(r["edited_fingerprint"])
+        same = sum(b.get(k) == v for k, v in a.items())
+        assert math.isclose(r["near_edited"], same / len({*a, *b}) if a or b else 1.0)
+        by.setdefault((r["doc_id"], r["n_chars"], r["edited_sha256"]), r)
+    texts = {}
+    for i, t in rows:
+        texts.setdefault(i, set()).add(t or "")
+    ends = {hashlib.sha256((t[: len(t) - len(t) // 2] + u[: len(t) // 2]).encode()).hexdigest() for v in texts.values() for t in v for w in texts.values() for u in w}
+    assert all(r["edited_sha256"] in ends for r in found)
+    # Within one id either order of two texts is allowed; every row is the next of exactly one other.
+    assert len(by) == len({(i, t) for i, v in texts.items() for t in v})
+
+
+def test_fingerprint_signature_by_definition(spark):
+    """Ranges, minimal runs and their order in the text, rebuilt from the run hashes that Spark gives."""
+    text = "one two one two three one two four five six seven one two"
+    words = text.split()
+    pairs = [" ".join(words[i : i + 2]) for i in range(len(words) - 1)]
+    spark.createDataFrame([(text,)], "text string").createOrReplaceTempView("one_text")
+    hashes = spark.sql("select transform(sequence(0, %d), i -> xxhash64(w[i], w[i + 1])) h from (select split(text, ' ') w from one_text)" % (len(words) - 2)).first()["h"]
+    seen, numbered = Counter(), []
+    for i, (pair, h) in enumerate(zip(pairs, hashes)):
+        v = h if not seen[pair] else spark.range(1).select(F.xxhash64(F.lit(h), F.lit(seen[pair]))).first()[0]
+        seen[pair] += 1
+        numbered.append((v, i))
+    numbered.sort()
+    expected = {}
+    for j, (v, _) in enumerate(numbered):
+        if j == 0 or v >> 58 != numbered[j - 1][0] >> 58:
+            two = sorted((numbered[(j + d) % len(numbered)] for d in range(2)), key=lambda x: x[1])
+            made = spark.range(1).select(F.xxhash64(F.array(*[F.lit(x[0]).cast("bigint") for x in two]))).first()[0]
+            expected[v >> 58] = made
+    found = spark.createDataFrame([(text,)], "text string").select(signature(F.col("text")).alias("s")).first()["s"]
+    assert {x["at"]: x["tuple"] for x in found} == expected
+
+
 def test_fingerprints(docs):
     rows = fingerprints(docs).collect()
     assert len(rows) == 10
