@@ -180,9 +180,8 @@ class CdcTable:
         if n_files <= _FILES and n_keys * n_files <= _COMPARISONS:
             inside = (self._key() >= F.col(_LOW)) & (self._key() <= F.col(_HIGH))
             return keys.join(F.broadcast(index), inside).select(BATCH, _FILE, _ROWS).distinct()
-        ends = keys.agg(F.min(self._key()).alias("low"), F.max(self._key()).alias("high"))  # one row
-        index = index.crossJoin(F.broadcast(ends)).filter((F.col(_HIGH) >= F.col("low")) & (F.col(_LOW) <= F.col("high")))
-        return index.select(BATCH, _FILE, _ROWS)
+        low, high = (keys.agg(end(self._key())).scalar() for end in (F.min, F.max))
+        return index.filter((F.col(_HIGH) >= low) & (F.col(_LOW) <= high)).select(BATCH, _FILE, _ROWS)
 
     def _matching(self, spark: SparkSession, folder: str, own: DataFrame, keys: DataFrame, n_keys: int, batch_id: int) -> DataFrame:
         """The batch's own events and the files of the log that may hold its keys."""
