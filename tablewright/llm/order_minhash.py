@@ -93,10 +93,10 @@ def with_next(once: DataFrame, keys: DataFrame, columns: list[str], values: list
     kind = keys.select(F.array(F.struct(*columns)).alias("firsts")).schema
     bounds = spark.createDataFrame([(firsts,)], kind).scalar()  # one value
     key, n = F.struct(*columns), len(firsts)
-    rows = once.withColumn("range", F.size(F.filter(bounds, lambda f: f <= key)) - 1)
+    rows = once.withColumn("firsts", bounds).withColumn("range", F.size(F.filter("firsts", lambda f: f <= key)) - 1)
     before = F.struct(F.pmod(F.col("range") - 1, F.lit(n)).alias("range"), F.lit(True).alias("extra"))
     own = F.struct(F.col("range"), F.lit(False).alias("extra"))
-    places = F.when(F.get(bounds, F.col("range")) == key, F.array(own, before)).otherwise(F.array(own))
+    places = F.when(F.get("firsts", F.col("range")) == key, F.array(own, before)).otherwise(F.array(own))
     rows = rows.withColumn("place", F.explode(places)).select(*once.columns, "place.range", "place.extra")
     rows = rows.repartition("range").withColumns(made)
     along = Window.partitionBy("range").orderBy("extra", *columns)

@@ -1,18 +1,14 @@
-"""Byte-level BPE ids of texts from a public vocabulary, with a cache of what stands between white space."""
+"""Byte-level BPE ids of texts from a public vocabulary."""
 
 from __future__ import annotations
 
 import base64
-import re
 
 import numpy as np
 import tiktoken
 
-# The pattern that goes with the rank files, and Unicode white space.
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-_WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-_CHUNK = re.compile(f" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+")
-_CACHE = 100_000
+# Fixed value: the pattern that goes with the rank files, in the form that never goes back over a run.
+PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
 _ENCODERS: dict[int, Encoder] = {}
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
@@ -23,7 +19,7 @@ def ranks_of(data: bytes) -> dict[bytes, int]:
 
 
 class Encoder:
-    """Ids as packed bytes. No token crosses a chunk of the cache, so that it changes nothing."""
+    """Ids of whole texts as packed bytes."""
 
     def __init__(self, data: bytes):
         ranks = ranks_of(data)
@@ -31,28 +27,9 @@ class Encoder:
         self.end = self.size
         self.kind = np.uint16 if self.end < 2**16 else np.uint32
         self.coder = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.cache: dict[str, bytes] = {}
-        self.after_space: dict[str, bytes] = {}
 
     def packed(self, text: str | None) -> bytes:
-        text = text or ""
-        if "  " in text:  # spaces in a row may be one token
-            return self._joined(_CHUNK.findall(text), self.cache, "")
-        # What follows a single space up to the next one is encoded by itself with it.
-        first, *parts = text.split(" ")
-        return self._joined(_CHUNK.findall(first), self.cache, "") + self._joined(parts, self.after_space, " ")
-
-    def _joined(self, chunks: list[str], cache: dict[str, bytes], before: str) -> bytes:
-        try:
-            return b"".join([cache[c] for c in chunks])
-        except KeyError:
-            if len(cache) > _CACHE:
-                cache.clear()
-            own = {}  # what is too long to be kept, or too much
-            for c in (c for c in set(chunks) if c not in cache):
-                kept = cache if len(c) < 200 and len(chunks) < _CACHE else own
-                kept[c] = np.array(self.coder.encode_ordinary(before + c), self.kind).tobytes()
-            return b"".join([own[c] if c in own else cache[c] for c in chunks])
+        return np.array(self.coder.encode_ordinary(text or ""), self.kind).tobytes()
 
 
 def encoder(data: bytes) -> Encoder:
