@@ -166,9 +166,12 @@ def apply_change_feed(
     """Bring ``target`` up to date with everything beyond its mark.
 
     Returns the new target and the new marks. Write the target first: if the run ends in
-    between, the same changes are applied once more, with the same outcome.
+    between, the same changes are applied once more, with the same outcome. The last version
+    is read once, now: what the log gains before the results are computed is left to the
+    next run, by the target and by the mark.
     """
-    pending = read_changes(log, start=next_version(mark, name).scalar())
+    last = log.agg(F.max(VERSION)).first()[0]
+    pending = read_changes(log, start=next_version(mark, name).scalar(), end=0 if last is None else last)
     net = net_changes(pending, keys)
     removed = F.col(f"s.{CHANGE_TYPE}") == REMOVE
     state = merge(
@@ -178,4 +181,5 @@ def apply_change_feed(
         matched=[(removed, DELETE), (None, ALL)],
         not_matched=[(~removed, ALL)],
     )
-    return state, advance_mark(mark, name, pending.agg(F.max(VERSION)))
+    reached = log.sparkSession.createDataFrame([(last,)], "processed_version bigint")
+    return state, advance_mark(mark, name, reached)

@@ -53,9 +53,14 @@ def merge(
     matched: Sequence[MatchedClause] = ((None, ALL),),
     not_matched: Sequence[InsertClause] = ((None, ALL),),
     evolve: bool = False,
+    condition: Column | str | None = None,
 ) -> DataFrame:
     """MERGE as dataflow: the state of ``target`` after ``source`` has been merged in.
 
+    Rows match if they agree in ``on`` and if ``condition``, the rest of an ON clause, is true
+    of the two, say ``t.is_current``. A source row whose key the target has, but only in
+    rows for which that is not true, is unmatched.
+
     Conditions and values refer to the sides as ``t.column`` and ``s.column``. The first
     clause whose condition is true decides; a matched row without one stays as it is, an
     unmatched source row without one is left out. NULL keys never match. Two source rows
@@ -71,34 +76,54 @@ def merge(
         target = target.select("*", *[F.lit(None).cast(t).alias(n) for n, t in extra])
     columns = target.columns
     if matched:
-        lookup = source.select(*[F.col(f"`{k}`").alias(f"__key_{k}") for k in keys], _row(source).alias(_SOURCE))
-        joined = target.alias("t").join(lookup, [F.col(f"t.`{k}`") == F.col(f"`__key_{k}`") for k in keys], "left")
-        joined = joined.select(F.struct(*[F.col(f"t.`{c}`") for c in columns]).alias("t"), F.col(_SOURCE).alias("s"))
-        kept = _after_match(joined, target, source, keys, matched)
+        joined = _pairs(target, source, keys, condition, "left")
+        kept = _after_match(joined, target, source, keys, matched, condition)
     else:
         kept = target
     if not not_matched:
         return kept
-    return kept.unionByName(_inserts(target, source, keys, not_matched))
+    return kept.unionByName(_inserts(target, source, keys, not_matched, condition))
 
 
 def _row(df: DataFrame) -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in df.columns])
 
 
-def _clashes(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Column:
-    """One value: are there (1) or are there not (0) several source rows for a target key?"""
+def _pairs(target: DataFrame, source: DataFrame, keys: Sequence[str], condition: Column | str | None, how: str) -> DataFrame:
+    """Matching rows as the structs ``t`` and ``s``."""
+    lookup = source.select(*[F.col(f"`{k}`").alias(f"__key_{k}") for k in keys], _row(source).alias(_SOURCE))
+    flat = target.select(*[F.col(f"`{k}`").alias(f"__own_{k}") for k in keys], _row(target).alias("t"))
+    same = [F.col(f"`__own_{k}`") == F.col(f"`__key_{k}`") for k in keys]
+    if condition is not None:
+        lookup = lookup.withColumnRenamed(_SOURCE, "s")
+        return flat.join(lookup, [*same, holds(condition)], how).select("t", "s")
+    return flat.join(lookup, same, how).select("t", F.col(_SOURCE).alias("s"))
+
+
+def _clashes(target: DataFrame, source: DataFrame, keys: Sequence[str], condition: Column | str | None) -> Column:
+    """One value: are there (1) or are there not (0) several source rows for a target row?"""
     repeated = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    if condition is not None:
+        # Only for rows with a repeated key it has to be seen which of them match.
+        several = source.join(repeated.drop("n"), list(keys), "left_semi").select(*source.columns)
+        numbered = target.withColumn("__number", F.monotonically_increasing_id())
+        counted = _pairs(numbered, several, keys, condition, "inner").groupBy("t.__number").count()
+        return counted.filter("count > 1").limit(1).agg(F.count(F.lit(1))).scalar()
     hit = repeated.join(target.select(*keys), list(keys), "left_semi").limit(1)
     return hit.agg(F.count(F.lit(1))).scalar()
 
 
 def _after_match(
-    joined: DataFrame, target: DataFrame, source: DataFrame, keys: Sequence[str], matched: Sequence[MatchedClause]
+    joined: DataFrame,
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    matched: Sequence[MatchedClause],
+    condition: Column | str | None = None,
 ) -> DataFrame:
     columns, types, source_columns = target.columns, dict(target.dtypes), set(source.columns)
     unique = F.when(
-        _clashes(target, source, keys) > 0,
+        _clashes(target, source, keys, condition) > 0,
         F.raise_error("merge: several source rows match one target row").cast("int"),
     )
     is_match = F.col("s").isNotNull()
@@ -140,7 +165,11 @@ def _after_match(
 
 
 def _inserts(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], not_matched: Sequence[InsertClause]
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    not_matched: Sequence[InsertClause],
+    condition: Column | str | None = None,
 ) -> DataFrame:
     columns, types, source_columns = target.columns, dict(target.dtypes), set(source.columns)
     # Keys both sides have. With a small source Spark filters the target by it before the
@@ -150,9 +179,16 @@ def _inserts(
     for key in keys:
         complete = complete & F.col(f"`{key}`").isNotNull()
     # Rows without a key match nothing; joining them would gather them in one task.
-    known = source.filter(complete).alias("s")
-    fresh = known.join(shared.alias("k"), [F.col(f"s.`{k}`") == F.col(f"k.`{k}`") for k in keys], "left_anti")
-    fresh = fresh.select(_row(source).alias("s")).unionByName(source.filter(~complete).select(_row(source).alias("s")))
+    if condition is None:
+        known = source.filter(complete).alias("s")
+        fresh = known.join(shared.alias("k"), [F.col(f"s.`{k}`") == F.col(f"k.`{k}`") for k in keys], "left_anti")
+        fresh = fresh.select(_row(source).alias("s"))
+    else:
+        known = source.filter(complete).select(*[F.col(f"`{k}`").alias(f"__key_{k}") for k in keys], _row(source).alias("s"))
+        rows = target.select(*[F.col(f"`{k}`").alias(f"__own_{k}") for k in keys], _row(target).alias("t"))
+        same = [F.col(f"`__own_{k}`") == F.col(f"`__key_{k}`") for k in keys]
+        fresh = known.join(rows, [*same, holds(condition)], "left_anti").select("s")
+    fresh = fresh.unionByName(source.filter(~complete).select(_row(source).alias("s")))
 
     clause = F.lit(None).cast("int")
     for index, (condition, _) in reversed(list(enumerate(not_matched))):

@@ -99,13 +99,18 @@ def salted_join(t: Tables) -> DataFrame:
 
 @query(
     f"""WITH {inputs.SALES_SPLIT}
-    SELECT coalesce(u.id, l.id) AS id, CASE WHEN u.id IS NOT NULL THEN u.ts ELSE l.ts END AS ts,
+    SELECT l.id, CASE WHEN u.id IS NOT NULL THEN u.ts ELSE l.ts END AS ts,
       CASE WHEN u.id IS NOT NULL THEN u.country ELSE l.country END AS country,
       CASE WHEN u.id IS NOT NULL THEN u.amount ELSE l.amount END AS amount
-    FROM loaded l FULL OUTER JOIN updates u ON l.id = u.id"""
+    FROM loaded l LEFT JOIN updates u ON l.id = u.id AND l.amount < 150000 AND u.ts >= l.ts
+    UNION ALL
+    SELECT u.* FROM updates u
+    WHERE NOT EXISTS (SELECT 1 FROM loaded l WHERE l.id = u.id AND l.amount < 150000 AND u.ts >= l.ts)"""
 )
 def merge(t: Tables) -> DataFrame:
-    return merge_rows(inputs.sales_loaded(t), inputs.sales_updates(t), on=["id"])
+    """Only open sales, those below an amount, are replaced; a change of any other becomes a row of its own."""
+    still_open = "t.amount < 150000 AND s.ts >= t.ts"
+    return merge_rows(inputs.sales_loaded(t), inputs.sales_updates(t), on=["id"], condition=still_open)
 
 
 @query(

@@ -89,3 +89,22 @@ def test_net_changes_one_row_per_key(log):
     assert {(r.id, r._change_type, r._commit_version) for r in net_changes(log, ["id"]).collect()} == {
         (1, "insert", 5), (2, "insert", 4), (3, "delete", 4),
     }
+
+
+def test_what_the_log_gains_meanwhile_is_left_to_the_next_run(spark, log, folder):
+    log.write.parquet(folder)
+    growing = spark.read.parquet(folder)
+    mark = spark.createDataFrame([("t", 3)], "table_name string, processed_version bigint")
+    state, marks = apply_change_feed(as_of(log, ["id"], 3), growing, mark, "t", ["id"])
+    late = spark.createDataFrame([(7, "late", "insert", 6, T0 + timedelta(days=6)), (1, None, "delete", 6, T0 + timedelta(days=6))], SCHEMA)
+    late.write.mode("append").parquet(folder)
+    spark.catalog.refreshByPath(folder)
+    assert rows(state) == STATES[5] and rows(marks) == {("t", 5)}
+    again, after = apply_change_feed(as_of(log, ["id"], 5), spark.read.parquet(folder), marks, "t", ["id"])
+    assert rows(again) == {(2, "B"), (7, "late")} and rows(after) == {("t", 6)}
+
+
+def test_an_empty_log_changes_nothing(spark, log):
+    mark = spark.createDataFrame([("t", 3)], "table_name string, processed_version bigint")
+    state, marks = apply_change_feed(as_of(log, ["id"], 3), log.limit(0), mark, "t", ["id"])
+    assert rows(state) == STATES[3] and rows(marks) == {("t", 3)}

@@ -80,3 +80,25 @@ def test_columns_named_like_the_sides(spark):
     target = spark.createDataFrame([(1, "a", 1)], "t int, s string, `a b` int")
     source = spark.createDataFrame([(1, "b", 2), (2, "c", 3)], "t int, s string, `a b` int")
     assert rows(merge(target, source, ["t"])) == [(1, "b", 2), (2, "c", 3)]
+
+
+def test_the_rest_of_an_on_clause(spark):
+    target = spark.createDataFrame([(1, "old", False), (1, "new", True), (2, "gone", False), (None, "n", True)], "id int, v string, current boolean")
+    source = spark.createDataFrame([(1, "A", None), (2, "B", None), (3, "C", None), (None, "N", None)], "id int, v string, current boolean")
+    close = {"current": F.lit(False)}
+    merged = merge(target, source, ["id"], [("t.v <> s.v", close)], [(None, {"id": "s.id", "v": "s.v", "current": F.lit(True)})], condition="t.current")
+    assert {tuple(r) for r in merged.collect()} == {
+        (1, "old", False), (1, "new", False), (2, "gone", False), (None, "n", True), (2, "B", True), (3, "C", True), (None, "N", True),
+    }
+    only = merge(target, source, ["id"], [(None, DELETE)], [], condition=F.col("t.current") & (F.col("s.v") == "A"))
+    assert {r.v for r in only.collect()} == {"old", "gone", "n"}
+
+
+def test_source_rows_that_a_condition_tells_apart_do_not_clash(spark):
+    target = spark.createDataFrame([(1, 5), (1, 15)], "id int, n int")
+    source = spark.createDataFrame([(1, 10), (1, 20)], "id int, n int")
+    near = F.abs(F.col("s.n") - F.col("t.n")) == 5
+    one = merge(target.filter("n = 5"), source, ["id"], [(None, "*")], [], condition=near)
+    assert [tuple(r) for r in one.collect()] == [(1, 10)]
+    with pytest.raises(Exception, match="several source rows"):
+        merge(target, source, ["id"], [(None, "*")], [], condition=near).collect()
