@@ -75,8 +75,12 @@ def shown(signature: Column) -> Column:
 
 
 def _bounds(keys: DataFrame, columns: list[str]) -> list:
-    """The first keys of ranges that hold about as many keys each; as many as there are shuffle partitions."""
-    parts = keys.select(*columns).repartitionByRange(*columns).withColumn("task", F.spark_partition_id())
+    """The first keys of ranges that hold about as many keys each, two for each shuffle partition.
+
+    Keys are far smaller than the rows they stand for; a number that is asked for is not cut down to their size.
+    """
+    n = 2 * int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = keys.select(*columns).repartitionByRange(n, *columns).withColumn("task", F.spark_partition_id())
     return [r["first"] for r in parts.groupBy("task").agg(F.min(F.struct(*columns)).alias("first")).orderBy("first").collect()]
 
 
@@ -93,7 +97,12 @@ def with_next(once: DataFrame, keys: DataFrame, columns: list[str], values: list
     kind = keys.select(F.array(F.struct(*columns)).alias("firsts")).schema
     bounds = spark.createDataFrame([(firsts,)], kind).scalar()  # one value
     key, n = F.struct(*columns), len(firsts)
-    rows = once.withColumn("firsts", bounds).withColumn("range", F.size(F.filter("firsts", lambda f: f <= key)) - 1)
+    # Two short searches, for a block and then inside it, instead of a long one.
+    width = max(1, int(n**0.5))
+    upto = lambda found: F.size(F.filter(found, lambda f: f <= key))
+    heads = F.transform(F.sequence(F.lit(0), F.lit((n - 1) // width)), lambda i: F.get("firsts", i * width))
+    rows = once.withColumn("firsts", bounds).withColumn("block", (upto(heads) - 1) * width)
+    rows = rows.withColumn("range", F.col("block") + upto(F.slice("firsts", F.col("block") + 1, F.lit(width))) - 1)
     before = F.struct(F.pmod(F.col("range") - 1, F.lit(n)).alias("range"), F.lit(True).alias("extra"))
     own = F.struct(F.col("range"), F.lit(False).alias("extra"))
     places = F.when(F.get("firsts", F.col("range")) == key, F.array(own, before)).otherwise(F.array(own))
