@@ -60,7 +60,7 @@ def signature(text: Column, words: int = 2, together: int = 2, bits: int = 6) ->
 
 def _let(value: Column, body) -> Column:
     """Evaluate ``value`` once and use it several times. NULL gives NULL."""
-    return F.when(value.isNotNull(), F.get(F.transform(F.array(value), body), F.lit(0)))
+    return F.get(F.transform(F.filter(F.array(value), lambda x: x.isNotNull()), body), F.lit(0))
 
 
 def likeness(a: Column, b: Column) -> Column:
