@@ -66,11 +66,17 @@ def op1_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
         trim(regexp_replace(lower(raw), '[ \t\n\x0b\x0c\r]+', ' ', 'g')) AS said,
         len(regexp_extract_all(raw, '[^ \t\n\x0b\x0c\r]+')) AS words
       FROM unit),
-    two AS (
-      SELECT doc_id, i, said || chr(10) || lead(said) OVER w AS run, 2 AS n, words + lead(words) OVER w AS words
-      FROM plain WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+    sums AS (
+      SELECT *, sum(words) OVER w AS upto, count(*) OVER (PARTITION BY doc_id) AS size
+      FROM plain WINDOW w AS (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING)),
+    ends AS (SELECT doc_id, upto, min(i) AS i FROM sums GROUP BY doc_id, upto),
+    wide AS (
+      SELECT s.doc_id, s.i, s.size, greatest(e.i, s.i + 1) AS stop
+      FROM sums s ASOF JOIN ends e ON s.doc_id = e.doc_id AND s.upto - s.words + 16 <= e.upto),
+    steps AS (SELECT doc_id, i, unnest(range(i, stop + 1)) AS k FROM wide WHERE stop <= size),
     runs AS (
-      SELECT doc_id, i, n, run FROM two WHERE words >= 8
+      SELECT s.doc_id, s.i, count(*) AS n, string_agg(said, chr(10) ORDER BY k) AS run
+      FROM steps s JOIN plain p ON s.doc_id = p.doc_id AND k = p.i GROUP BY s.doc_id, s.i
       UNION ALL SELECT doc_id, i, 1, said FROM plain WHERE words >= 20),
     placed AS (
       SELECT *, min(doc_id) OVER (PARTITION BY n, run) AS first, min(i) OVER (PARTITION BY n, run, doc_id) AS first_i

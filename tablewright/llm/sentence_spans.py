@@ -19,26 +19,21 @@ _SENTENCE = re.compile(SENTENCE)
 _SPACE = " \t\n\x0b\x0c\r"
 
 
-def runs_of(text: str, run: int, min_words: int, long_words: int, extend: bool = False) -> tuple[list[int], list[int], list[bytes]]:
+def runs_of(text: str, run: int, min_words: int, long_words: int) -> tuple[list[int], list[int], list[bytes]]:
     """Where runs begin, how many sentences they have, and their 128-bit hashes.
 
-    A run is ``run`` consecutive sentences with ``min_words`` words in all; a sentence of
-    ``long_words`` words is as long as several and a run by itself. With ``extend`` a run
-    that has too few words takes in the sentences behind it until it has enough.
+    From each sentence a run goes on for ``run`` sentences at least and until it has
+    ``min_words`` words; a sentence of ``long_words`` words is as long as several and a
+    run by itself.
     """
     units = [sentence.lower().encode().split() for sentence in _SENTENCE.findall(text)]
     marks = [xxhash.xxh3_128_digest(b" ".join(words)) for words in units]
     sizes = np.array([len(words) for words in units], np.int64)
-    at, length, hashes = [], [], []
     ends = np.r_[0, np.cumsum(sizes)]
-    if extend:
-        begins = np.arange(len(units))
-        stops = np.maximum(np.searchsorted(ends, ends[:-1] + min_words), begins + run)
-        begins = begins[stops <= len(units)]
-        stops = stops[: len(begins)]
-    else:
-        begins = np.flatnonzero(ends[run:] - ends[:-run] >= min_words) if len(units) >= run else np.zeros(0, np.int64)
-        stops = begins + run
+    begins = np.arange(len(units))
+    stops = np.maximum(np.searchsorted(ends, ends[:-1] + min_words), begins + run)
+    begins = begins[stops <= len(units)]
+    at, length, hashes = [], [], []
     for i, j in zip(begins.tolist(), stops.tolist()):
         at.append(i)
         length.append(j - i)
@@ -50,14 +45,23 @@ def runs_of(text: str, run: int, min_words: int, long_words: int, extend: bool =
     return at, length, hashes
 
 
+def _unused(docs: DataFrame, *names: str) -> list[str]:
+    """These names, with as many underscores behind them as it takes to be new to the table."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def without_repeated_spans(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     run: int = 2,
-    min_words: int = 8,
+    min_words: int = 16,
     long_words: int = 20,
-    extend: bool = False,
 ) -> DataFrame:
     """The documents without sentences that a repeated run covers, except where it stands first.
 
@@ -67,9 +71,9 @@ def without_repeated_spans(
     kept. NULL and empty texts stay as they are, with 0 sentences. Rows with one id are one
     document as to what stands first: their runs are never removed on account of each other.
 
-    Without ``extend``, as in the SQL of ``op6_sentence_spans``, passages of short sentences
-    stay: no run of them has ``min_words`` words. With it, runs go on until they have; of a
-    repeated passage at most a tail of under ``min_words`` words then stays.
+    Runs of short sentences go on until they have ``min_words`` words, so that everyday phrases
+    of two sentences stay and a repeated passage goes whatever its sentences are like; at most a
+    tail of it under ``min_words`` words stays.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("version"), F.col(text_col).alias("text"))
     schema = T.StructType([rows.schema["id"], T.StructField("version", T.LongType())])
@@ -92,7 +96,7 @@ def without_repeated_spans(
                 )
 
             for i, text in enumerate(batch.column(2)):
-                a, n, h = runs_of(text.as_py() or "", run, min_words, long_words, extend)
+                a, n, h = runs_of(text.as_py() or "", run, min_words, long_words)
                 seen: set[bytes] = set()
                 for mark in h:
                     again.append(mark in seen)
@@ -114,12 +118,14 @@ def without_repeated_spans(
     places = ["id", "version", "at", "n"]
     cuts = later.select(*places).unionAll(found.filter("again").select(*places))
     cuts = cuts.groupBy("id", "version").agg(F.collect_set(F.struct("at", "n")).alias("__cuts"))
-    cuts = cuts.withColumnsRenamed({"id": "__id", "version": "__version"})
 
-    kept = docs.drop("n_sentences", "n_removed").withColumn("__hash", F.xxhash64(text_col))
-    kept = kept.join(cuts, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__version")), "left")
-    kept = kept.drop("__id", "__version", "__hash")
-    result = T.StructType(kept.drop("__cuts").schema.fields)
+    docs = docs.drop("n_sentences", "n_removed")
+    own, version, hash_, places = _unused(docs, "own", "version", "hash", "places")
+    cuts = cuts.withColumnsRenamed({"id": own, "version": version, "__cuts": places})
+    kept = docs.withColumn(hash_, F.xxhash64(text_col))
+    kept = kept.join(cuts, F.col(id_col).eqNullSafe(F.col(own)) & (F.col(hash_) == F.col(version)), "left")
+    kept = kept.drop(own, version, hash_)
+    result = T.StructType(docs.schema.fields)
     result = result.add("n_sentences", T.IntegerType()).add("n_removed", T.IntegerType())
     place = result.names.index(text_col)
 

@@ -301,6 +301,7 @@ def near_duplicates(
     rows: int = 3,
     seed: int = 5,
     batch_chars: int = 8_000_000,
+    marked: bool = False,
 ) -> DataFrame:
     """One row per document: the id, ``class_id`` and ``group_id``.
 
@@ -314,7 +315,9 @@ def near_duplicates(
 
     NULL texts count as empty; empty texts are one class. A text of fewer words is one
     shingle. NULL ids do not name a class or group; one without other ids has NULL. Equal
-    rows have equal results. Other columns are not looked at.
+    rows have equal results. Other columns are not looked at. With ``marked`` there are ``mark``,
+    the MD5 of the text, and ``group``, the smallest mark of the group, as well; they tell texts
+    and groups apart where ids are NULL or repeated.
     """
     docs = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     sets = stored(shared_sets(docs, words, least, bands, rows, seed, batch_chars), "sets").dropDuplicates(["mark"])
@@ -335,10 +338,11 @@ def near_duplicates(
     if not more.isEmpty():
         labels = components(links.unionAll(more))
 
-    marked = stored(docs.select("id", F.md5("text").alias("mark")), "marks")
-    classes = marked.groupBy("mark").agg(F.min("id").alias("class_id"))
+    named = stored(docs.select("id", F.md5("text").alias("mark")), "marks")
+    classes = named.groupBy("mark").agg(F.min("id").alias("class_id"))
     classes = classes.join(labels.withColumnRenamed("node", "mark"), "mark", "left")
     classes = classes.withColumn("label", F.coalesce("label", "mark"))
     groups = classes.groupBy("label").agg(F.min("class_id").alias("group_id"))
-    classes = classes.join(groups, "label").select("mark", "class_id", "group_id")
-    return marked.join(classes, "mark").select(F.col("id").alias(id_col), "class_id", "group_id")
+    classes = classes.join(groups, "label").select("mark", "class_id", "group_id", F.col("label").alias("group"))
+    more = ["mark", "group"] if marked else []
+    return named.join(classes, "mark").select(F.col("id").alias(id_col), "class_id", "group_id", *more)

@@ -130,8 +130,33 @@ def test_repeated_short_sentences_go(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumns({c: F.lit(None).cast("string") for c in ("lang", "source", "n_chars")})
     made = {r["doc_id"]: r["text"] for r in corpus_pipeline.unrepeated(spark, docs, "").collect()}
     assert made == {0: rows[0][1], 1: "Some other words come first. Other end.", 2: ""}
-    same = {r["doc_id"]: r["text"] for r in without_repeated_spans(docs).collect()}
-    assert same == dict(rows)  # the rule of op6_sentence_spans, as its SQL has it
+    assert {r["doc_id"]: r["text"] for r in without_repeated_spans(docs).collect()} == made
+
+
+def test_everyday_phrases_stay(spark):
+    rows = [(i, f"Thank you so much. See you all next week. Only text {i} goes on about matter {i}.") for i in range(5)]
+    kept = without_repeated_spans(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert {(r["doc_id"], r["text"]) for r in kept.collect()} == set(rows)
+
+
+def test_span_columns_with_clashing_names(spark):
+    names = ["__id", "__version", "__hash", "__cuts", "own", "VERSION", "hash", "places", "at", "n"]
+    rows = spark.createDataFrame([(1, PASSAGE), (2, f"Before it. {PASSAGE}")], "doc_id bigint, text string")
+    rows = rows.withColumns({name: F.concat(F.lit(name), F.col("doc_id")) for name in names})
+    found = without_repeated_spans(rows)
+    assert found.columns == [*rows.columns, "n_sentences", "n_removed"]
+    for row in found.collect():
+        assert all(row[name] == f"{name}{row['doc_id']}" for name in names) and row["n_removed"] == row["doc_id"] - 1
+
+
+def test_one_document_of_each_group_stays(spark):
+    near = PASSAGE.replace("word30", "other").replace("word", "longer ")
+    copies = [(None, PASSAGE), (None, PASSAGE + " End."), (None, PASSAGE), (7, "one text of its own"), (7, near), (9, near + " More.")]
+    lone = [(None, "nobody else says this"), (None, None), (12, "")]
+    docs = spark.createDataFrame(copies + lone, "doc_id bigint, text string")
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.single(spark, docs, "").collect()]
+    assert len(kept) == 5 and {r for r in kept if r[0]} == {(7, "one text of its own"), (7, near), (12, "")}
+    assert sum(t in (PASSAGE, PASSAGE + " End.") for _, t in kept) == 1 and (None, "nobody else says this") in kept
 
 
 def test_mix_takes_no_more_than_thrice(docs):
