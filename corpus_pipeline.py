@@ -18,16 +18,22 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def single(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, that with the smallest id; equal rows once."""
-    first = near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("group_id")))
-    first = first.select(F.col("doc_id").alias("__first")).distinct()
-    kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col("__first")), "left_semi")
+    """One document of each group of near-duplicates: of the smallest id, then of the smallest text hash.
+
+    Rows without an id come last in their group. Equal rows of id and text are one document.
+    """
+    first = near_duplicates(docs, marked=True).groupBy("group").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "mark")).alias("first")
+    )
+    first = first.select(F.col("first.doc_id").alias("first_id"), F.col("first.mark").alias("first_mark"))
+    mark = F.md5(F.coalesce("text", F.lit("")))
+    kept = docs.join(first, docs["doc_id"].eqNullSafe(F.col("first_id")) & (mark == F.col("first_mark")), "left_semi")
     return kept.dropDuplicates(["doc_id", "text"])
 
 
 def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages that stood before; ``n_chars`` follows the text."""
-    cut = without_repeated_spans(docs, extend=True).select(*docs.columns)
+    cut = without_repeated_spans(docs).select(*docs.columns)
     return cut.withColumn("n_chars", F.char_length("text").cast("bigint"))
 
 
