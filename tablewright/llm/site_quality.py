@@ -91,6 +91,15 @@ def _unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return np.frombuffer(b"".join(shapes), np.float64).reshape(len(shapes), -1), flat, np.repeat(np.arange(len(words)), [len(w) // 4 for w in words])
 
 
+def _parts(batch: pa.RecordBatch, most: int = 300_000) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of about ``most`` words, or of one text that has more."""
+    column = batch.column(batch.schema.get_field_index("words"))
+    ends = np.cumsum([len(value.as_buffer()) // 4 for value in column])
+    cuts = np.flatnonzero(np.diff(ends // most)) + 1 if len(ends) else []
+    for i, j in zip([0, *cuts], [*cuts, batch.num_rows]):
+        yield batch.slice(i, j - i)
+
+
 def logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray, ridge: float, rounds: int = 25) -> np.ndarray:
     """Weights of a ridge logistic regression by Newton's method; the last one is the intercept. Rows count ``n`` times."""
     x = np.c_[x, np.ones(len(x))]
@@ -144,7 +153,7 @@ def train(labelled: DataFrame, max_rows: int = 20_000, max_words: int = 300, rid
         return None
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in _parts(whole)):
             _, words, rows = _unpacked(batch)
             against = np.array(batch.column(batch.schema.get_field_index("against")).to_pylist(), np.int64).reshape(-1, 2)
             distinct, which = np.unique(words, return_inverse=True)
@@ -239,7 +248,7 @@ def site_quality(
     model = train(labelled, max_rows)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in _parts(whole)):
             found = model.evidence(batch) if model else np.zeros(batch.num_rows)
             kept = [batch.column(batch.schema.get_field_index(c)) for c in ("id", "host", "path", "version")]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(np.round(found * 1e6).astype(np.int64))], names=["id", "host", "path", "version", "ppm"])

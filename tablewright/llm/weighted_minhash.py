@@ -18,6 +18,7 @@ _CACHE = 200_000  # words, as long as a batch is worked on
 _KEY = 40  # bits of a shingle hash that tell shingles of one bucket apart
 _TOGETHER = 2_000  # members of a bucket that are compared in one task
 _BYTES = 64_000_000  # and the size of their sets
+_BLOCK = 65_536  # shingles that are sampled at a time
 
 
 class _Hashes(dict):
@@ -70,24 +71,31 @@ def samples(hashes: np.ndarray, weights: np.ndarray, starts: np.ndarray, m: int,
 
     For each element: r, c ~ Gamma(2, 1) and b uniform from its hash; t = floor(ln w / r + b);
     the element with the least c / exp(r (t - b) + r) is drawn, as the pair of itself and t.
+    Sets are taken a block at a time, which the numbers of an element do not depend on.
     """
     out = np.zeros((len(starts), m), np.uint64)
-    log_w = np.log(weights)
-    sets = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(hashes)]))
+    ends = np.r_[starts[1:], len(hashes)]
     low, scale = np.uint64(2**32 - 1), 1 / 2**32
-    for j in range(m):
-        x = mixed(hashes ^ mixed(np.uint64(seed * 1_000_003 + j + 1)))
-        y = mixed(x + np.uint64(0x9E3779B97F4A7C15))
-        z = mixed(y + np.uint64(0x9E3779B97F4A7C15))
-        uniform = [((v >> np.uint64(32)) + 0.5) * scale for v in (x, y)] + [((v & low) + 0.5) * scale for v in (x, y, z)]
-        r = -np.log(uniform[0] * uniform[1])
-        c = -np.log(uniform[2] * uniform[3])
-        t = np.floor(log_w / r + uniform[4])
-        a = np.log(c) - r * (t - uniform[4]) - r
-        least = np.minimum.reduceat(a, starts)
-        at = np.flatnonzero(a == least[sets])
-        first = at[np.r_[True, sets[at][1:] != sets[at][:-1]]]
-        out[:, j] = mixed(hashes[first] ^ mixed(t[first].astype(np.int64).astype(np.uint64)))
+    begin = 0
+    while begin < len(starts):
+        end = max(begin + 1, int(np.searchsorted(ends, starts[begin] + _BLOCK, "right")))
+        part = slice(starts[begin], ends[end - 1])
+        own, log_w, heads = hashes[part], np.log(weights[part]), starts[begin:end] - starts[begin]
+        sets = np.repeat(np.arange(end - begin), np.diff(np.r_[heads, len(own)]))
+        for j in range(m):
+            x = mixed(own ^ mixed(np.uint64(seed * 1_000_003 + j + 1)))
+            y = mixed(x + np.uint64(0x9E3779B97F4A7C15))
+            z = mixed(y + np.uint64(0x9E3779B97F4A7C15))
+            uniform = [((v >> np.uint64(32)) + 0.5) * scale for v in (x, y)] + [((v & low) + 0.5) * scale for v in (x, y, z)]
+            r = -np.log(uniform[0] * uniform[1])
+            c = -np.log(uniform[2] * uniform[3])
+            t = np.floor(log_w / r + uniform[4])
+            a = np.log(c) - r * (t - uniform[4]) - r
+            least = np.minimum.reduceat(a, heads)
+            at = np.flatnonzero(a == least[sets])
+            first = at[np.r_[True, sets[at][1:] != sets[at][:-1]]]
+            out[begin:end, j] = mixed(own[first] ^ mixed(t[first].astype(np.int64).astype(np.uint64)))
+        begin = end
     return out
 
 
