@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -13,6 +14,8 @@ from tablewright.llm.common import stored
 from tablewright.operators.joins import broadcast_join
 
 _SEEDS, _LINKS, _BLOCK = 64, 24, 2_048
+_SAMPLE_BYTES = 128_000_000  # of vectors that the centroids are fitted on
+_CELLS = 16_000_000  # vectors times centroids that are looked at together
 
 
 def _split(x: np.ndarray, rng: np.random.Generator) -> np.ndarray:
@@ -79,6 +82,9 @@ class Graph:
         """The nearest centroids found for each vector, nearest first, and their distances."""
         n, k = len(x), len(self.centroids)
         beam = min(beam, k)
+        if n > 1 and n * k > _CELLS:
+            parts = [self.search(part, beam) for part in np.array_split(x, min(n, n * k // _CELLS + 1))]
+            return np.concatenate([ids for ids, _ in parts]), np.concatenate([far for _, far in parts])
         half = (self.centroids**2).sum(1) / 2
         seen = np.zeros((n, k), bool)
         seen[:, self.seeds] = True
@@ -114,6 +120,32 @@ class Graph:
         return ids, far
 
 
+    def within(self, x: np.ndarray, ratio: float, beam: int, fill: np.ndarray, enough: int) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of vector and list: the lists at most ``ratio`` times as far as the nearest, and those nearest that hold ``enough`` rows.
+
+        The graph is searched for ``beam`` centroids. Where the last of them does not lie beyond
+        the ratio, or they hold too few rows, all centroids are looked at instead.
+        """
+        ids, far = self.search(x, beam)
+        held = np.cumsum(fill[ids] * np.isfinite(far), 1)
+        read = ((far <= ratio * far[:, :1]) | (held - fill[ids] < enough)) & np.isfinite(far)
+        whole = ~read[:, -1] & np.isfinite(far[:, -1])
+        row, at = np.nonzero(read & whole[:, None])
+        rows, lists = [row], [ids[row, at]]
+        rest = np.flatnonzero(~whole)
+        half = (self.centroids**2).sum(1) / 2
+        for part in np.array_split(rest, len(rest) * len(half) // _CELLS + 1):
+            if len(part):
+                gap = half - x[part] @ self.centroids.T
+                order = np.argsort(gap, 1, kind="stable")
+                far = np.sqrt(np.maximum(2 * np.take_along_axis(gap, order, 1) + (x[part] ** 2).sum(1)[:, None], 0))
+                held = np.cumsum(fill[order], 1)
+                row, at = np.nonzero((far <= ratio * far[:, :1]) | (held - fill[order] < enough))
+                rows.append(part[row])
+                lists.append(order[row, at])
+        return np.concatenate(rows), np.concatenate(lists)
+
+
 def _lifted(x: np.ndarray, reach: float) -> np.ndarray:
     """One more component, so that all vectors are equally long and the nearest has the largest inner product."""
     x = x / reach
@@ -136,25 +168,32 @@ def nearest(
     """For each id divisible by ``every`` the ``k`` other rows of largest inner product that the lists hold.
 
     Returns ``query_id``, ``rank`` from 1, ``vec_id``, ``score``; ties go to the smaller id.
-    Centroids are fitted on a sample of at most ``max_sample`` distinct vectors; every
+    Centroids are fitted on a sample of at most ``max_sample`` distinct vectors or 128 MB; every
     vector is indexed, in the list of its nearest centroid and in up to ``copies`` lists
-    whose centroids are at most ``edge`` times as far. A query reads the lists that the
-    graph finds and whose distance is at most ``ratio`` times the smallest; where they hold
-    too few rows, all lists. Equal vectors are one entry with its k + 1 smallest ids, which
-    is all that a result can need.
+    whose centroids are at most ``edge`` times as far. A query reads all lists whose distance is
+    at most ``ratio`` times the smallest, and the nearest ones until they hold ``copies * (k + 1)``
+    rows; the graph finds them, or where there are more than ``beam`` of them a look at all
+    centroids. Equal vectors are one entry with its k + 1 smallest ids, which is all that a
+    result can need.
 
     NULL ids, and vectors that are NULL, zero, or hold NULL or non-finite components, take
-    no part; nor do those whose length is not the most frequent one (of ties the longest).
-    Repeated rows with one id and vector count once. Other columns are not looked at.
+    no part. Vectors of different lengths have no inner product: each length is searched by
+    itself, one after the other. Repeated rows with one id and vector count once. Other columns are not looked at.
     """
-    spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).cast("bigint").alias("id"), F.transform(vector_col, lambda x: x.cast("double") + F.lit(0.0)).alias("v"))
     sound = F.forall("v", lambda x: x.isNotNull() & (F.abs(x) < float("inf")) & ~F.isnan(x)) & F.exists("v", lambda x: x != 0)
     rows = rows.filter(F.col("id").isNotNull() & sound)
-    lengths = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
-    rows = rows.filter(F.size("v") == (lengths["n"] if lengths else 0))
-    width = lengths["n"] if lengths else 1
+    widths = sorted(r["n"] for r in rows.select(F.size("v").alias("n")).distinct().collect())
+    found = [_nearest(rows.filter(F.size("v") == n), n, every, k, list_size, max_sample, copies, edge, beam, ratio) for n in widths]
+    none = vectors.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    return reduce(DataFrame.unionAll, found) if found else none
+
 
+def _nearest(
+    rows: DataFrame, width: int, every: int, k: int, list_size: int, max_sample: int, copies: int, edge: float, beam: int, ratio: float
+) -> DataFrame:
+    """The same for sound vectors ``v`` of one length."""
+    spark = rows.sparkSession
     classes = stored(rows.groupBy("v").agg(F.min("id").alias("class"), F.max(F.expr(f"id % {every} = 0")).alias("asks")), "vector-classes")
     named = classes.select("v", "class")
     placed = stored(rows.join(named, "v").select("id", "class").distinct(), "vector-members")
@@ -163,11 +202,10 @@ def nearest(
 
     count, square = classes.agg(F.count("*"), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).first()
     reach = float(np.sqrt(square or 1.0)) * (1 + 1e-12)
-    drawn = classes.select("v", "class")
-    drawn = drawn.orderBy(F.xxhash64("class")).limit(max_sample) if count > max_sample else drawn
-    sample = np.array([r["v"] for r in drawn.collect()], np.float64).reshape(-1, width)
-    if not len(sample):
-        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    most = max(1, min(max_sample, _SAMPLE_BYTES // (8 * width)))
+    drawn = classes.orderBy(F.xxhash64("class")).limit(most) if count > most else classes
+    vectors = drawn.select("v").toArrow().column("v").combine_chunks()
+    sample = np.asarray(vectors.flatten(), np.float64).reshape(-1, width)
     graph = Graph.of(fit_centroids(_lifted(sample, reach), max(1, list_size * len(sample) // count)))
     shared = spark.sparkContext.broadcast(graph)
 
@@ -192,16 +230,9 @@ def nearest(
             if not len(frame):
                 continue
             x = np.stack(frame["v"].to_numpy()) / np.array([max(np.linalg.norm(v), 1e-300) for v in frame["v"]])[:, None]
-            ids, far = shared.value.search(np.c_[x, np.zeros(len(x))], beam)
-            sums = np.cumsum(fill[ids], 1)
-            read = ((far <= ratio * far[:, :1]) | (sums - fill[ids] < enough)) & np.isfinite(far)
-            short = (sums * read).max(1) < enough
-            row, at = np.nonzero(read & ~short[:, None])
-            lists = ids[row, at]
-            if short.any():
-                row = np.r_[row, np.repeat(np.flatnonzero(short), len(fill))]
-                lists = np.r_[lists, np.tile(np.arange(len(fill)), short.sum())]
-            yield frame.iloc[row].assign(list=lists.astype(np.int32))
+            row, lists = shared.value.within(np.c_[x, np.zeros(len(x))], ratio, beam, fill, enough)
+            for part in np.array_split(np.arange(len(row)), len(row) * width // 2_000_000 + 1):
+                yield frame.iloc[row[part]].assign(list=lists[part].astype(np.int32))
 
     asked = classes.filter("asks").select("class", "v").mapInPandas(probe, "class bigint, v array<double>, list int")
     asked = stored(asked, "probes")

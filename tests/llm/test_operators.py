@@ -14,11 +14,11 @@ import corpus_pipeline
 from tablewright.llm.attention import END, START, WINDOW, Attention, packed, train, unpacked, windows
 from tablewright.llm.common import permuted
 from tablewright.llm.lm_scores import scored, words_of
-from tablewright.llm import lm_scores
+from tablewright.llm import lm_scores, weighted_minhash
 from tablewright.llm.mixing import mixed_documents, mixed_sources
 from tablewright.llm.order_minhash import fingerprints, signature
 from tablewright.llm.pieces import decoded, encoded
-from tablewright.llm.posting_lists import nearest
+from tablewright.llm.posting_lists import Graph, _lifted, fit_centroids, nearest
 from tablewright.llm.quotations import keys_of, linked
 from tablewright.llm.sentence_spans import without_repeated_spans
 from tablewright.llm.site_quality import site_quality
@@ -359,6 +359,50 @@ def test_nearest_against_brute_force(spark):
     assert len(found) == 600 and hits >= 0.9 * 600
 
 
+def test_nearest_of_each_length(spark):
+    rows = [(i, [float(i + 1), 1.0]) for i in range(41)] + [(i, [1.0, float(i)]) for i in (41, 60)] + [(i, [1.0, 0.0, float(i)]) for i in range(80, 103)]
+    found = nearest(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), list_size=4).collect()
+    for q, v in rows:
+        if q % 20 == 0:
+            others = [(-float(np.dot(v, w)), i) for i, w in rows if i != q and len(w) == len(v)]
+            mine = sorted((r["rank"], r["vec_id"]) for r in found if r["query_id"] == q)
+            assert [i for _, i in mine] == [i for _, i in sorted(others)[:20]]
+
+
+@pytest.mark.parametrize("groups", [None, 600])
+def test_recall_with_thousands_of_lists(groups):
+    """Lists of centroids as queries choose them, without clusters and with 600: share of the 20 best that lie in them."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(30_000, 16))
+    if groups:
+        x = 0.4 * x + rng.normal(size=(groups, 16))[rng.integers(0, groups, len(x))]
+    reach = np.linalg.norm(x, axis=1).max() * (1 + 1e-12)
+    graph = Graph.of(fit_centroids(_lifted(x, reach), 7))
+    assert len(graph.centroids) > 4_000
+    ids, far = graph.search(_lifted(x, reach), 16)
+    posted = np.zeros((len(x), len(graph.centroids)), bool)
+    for c in range(4):
+        near = (far[:, c] <= 1.15 * far[:, 0]) | (c == 0)
+        posted[np.flatnonzero(near), ids[near, c]] = True
+    asked = x[::300] / np.linalg.norm(x[::300], axis=1)[:, None]
+    row, lists = graph.within(np.c_[asked, np.zeros(len(asked))], 1.4, 64, posted.sum(0), 84)
+    hits = 0
+    for i, q in enumerate(asked):
+        best = np.argsort(-(x @ q))[:20]
+        hits += posted[np.ix_(best, lists[row == i])].any(1).sum()
+    assert hits >= 0.9 * 20 * len(asked)
+
+
+def test_blocks_do_not_change_the_samples(monkeypatch):
+    rng = np.random.default_rng(2)
+    sizes = [1, 50, 3, 400, 7]
+    hashes = rng.integers(0, 2**63, sum(sizes)).astype(np.uint64)
+    weights, starts = rng.random(sum(sizes)) + 0.1, np.cumsum([0, *sizes[:-1]])
+    whole = weighted_minhash.samples(hashes, weights, starts, 12, 5)
+    monkeypatch.setattr(weighted_minhash, "_BLOCK", 52)
+    assert (weighted_minhash.samples(hashes, weights, starts, 12, 5) == whole).all()
+
+
 def test_quotes_lead_to_conversations(spark):
     rows = [
         (1, "First question\nof two lines"), (2, "> First question\n> of two lines\n\nAn answer"),
