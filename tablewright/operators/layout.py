@@ -6,6 +6,7 @@ Every job writes to a new folder. Overwriting a folder that is being read would
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -19,6 +20,8 @@ TARGET_BYTES = 256 * 1024 * 1024
 MAX_FILES = 1000
 MIN_AVERAGE_BYTES = 134_217_728
 MAX_ZORDER_COLUMNS = 4
+# Fixed value: the folder name that stands for NULL in a partitioned table.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def compact(
@@ -46,9 +49,13 @@ def compact(
 
     # Bytes per partition value, read off the folder names; one row per partition.
     types = dict(df.dtypes)
-    sizes = files.select(
-        *[F.url_decode(F.regexp_extract("path", rf"/{c}=([^/]*)/", 1)).cast(types[c]).alias(c) for c in by], "length"
-    )
+
+    def value(c: str) -> Column:
+        text = F.regexp_extract("path", rf"/{re.escape(c)}=([^/]*)/", 1)
+        decoded = F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+        return F.when(text != NULL_PARTITION, decoded).cast(types[c]).alias(c)
+
+    sizes = files.select(*[value(c) for c in by], "length")
     if where is not None:
         condition = as_column(where)
         df, sizes = df.filter(condition), sizes.filter(condition)
@@ -154,6 +161,18 @@ def file_health(
     )
 
 
+def scanned_files(df: DataFrame, table_name: str) -> DataFrame:
+    """The data files that a scan reads: ``table_name``, ``path``, ``length``, ``row_count``.
+
+    Only file footers are read. Files without rows are not seen; a folder listing has them.
+    """
+    return (
+        df.groupBy(F.col("_metadata.file_path").alias("path"))
+        .agg(F.max("_metadata.file_size").alias("length"), F.count(F.lit(1)).alias("row_count"))
+        .withColumn("table_name", F.lit(table_name))
+    )
+
+
 def column_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Minimum, maximum, NULLs and approximate distinct values of the given columns."""
     from tablewright.operators.profile import profile

@@ -26,6 +26,27 @@ def test_compaction_of_partitions(spark, folder):
         layout.compact(spark, f"{folder}/src", f"{folder}/none", where="p = 'x'")
 
 
+def test_compaction_of_null_and_plus_partitions(spark, folder):
+    df = spark.range(600).select(
+        "id", F.when(F.col("id") % 3 > 0, (F.col("id") % 3).cast("int")).alias("n"),
+        F.when(F.col("id") % 2 == 0, F.lit("a+b c%d")).alias("s"),
+    )
+    df.repartition(8).write.partitionBy("n", "s").parquet(f"{folder}/src")
+    size = io.list_files(spark, f"{folder}/src").agg(F.sum("length")).first()[0]
+    aimed = layout.compact(spark, f"{folder}/src", f"{folder}/all", by=["n", "s"])
+    assert aimed == 6 and io.list_files(spark, f"{folder}/all").count() == 6
+    assert same_rows(spark.read.parquet(f"{folder}/all").select("id", "n", "s"), df)
+    assert layout.compact(spark, f"{folder}/src", f"{folder}/some", size // 30, ["n", "s"], where="n is null and s = 'a+b c%d'") > 1
+    assert spark.read.parquet(f"{folder}/some").count() == 100
+
+
+def test_files_of_a_scan(spark, folder):
+    spark.range(1000).repartition(5).write.parquet(folder)
+    found = layout.scanned_files(spark.read.parquet(folder), "t")
+    listed = io.list_files(spark, folder).agg(F.sum("length"), F.count("*")).first()
+    assert tuple(found.agg(F.sum("length"), F.count("*"), F.sum("row_count")).first()) == (*listed, 1000)
+
+
 def test_dynamic_overwrite_leaves_other_partitions(spark, folder):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "v int, p string")
     io.write_partitioned(df, folder, ["p"])
