@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
 
 from tablewright.functions.columns import moment
 from tablewright.operators.merge import ALL, DELETE, merge
@@ -68,9 +69,21 @@ def as_of(log: DataFrame, keys: Sequence[str], at: int | datetime | None = None)
     return state.filter(F.col(CHANGE_TYPE) != REMOVE).drop(*META)
 
 
+def _comparable(row: Column, kind: T.StructType) -> Column:
+    """A row with maps as sorted entries: maps themselves cannot be compared."""
+
+    def entries(name: str, of: T.DataType) -> Column:
+        value = row.getField(name)
+        return F.array_sort(F.map_entries(value)) if isinstance(of, T.MapType) else value
+
+    if not any(isinstance(f.dataType, T.MapType) for f in kind.fields):
+        return row
+    return F.when(row.isNotNull(), F.struct(*[entries(f.name, f.dataType).alias(f"f{i}") for i, f in enumerate(kind.fields)]))
+
+
 def _change_rows(pairs: DataFrame, keys: Sequence[str], columns: Sequence[str], version, ts) -> DataFrame:
     """Rows of (``old``, ``new``) structs, either of them possibly NULL, as change rows."""
-    old, new = F.col("old"), F.col("new")
+    old, new, kind = F.col("old"), F.col("new"), pairs.schema["old"].dataType
 
     def change(kind: str, row: Column) -> Column:
         return F.struct(F.lit(kind).alias("kind"), row.alias("row"))
@@ -81,7 +94,7 @@ def _change_rows(pairs: DataFrame, keys: Sequence[str], columns: Sequence[str],
         .otherwise(F.array(change(UPDATE_BEFORE, old), change(UPDATE_AFTER, new)))
     )
     return (
-        pairs.filter(~old.eqNullSafe(new))
+        pairs.filter(~_comparable(old, kind).eqNullSafe(_comparable(new, kind)))
         .select(*keys, F.explode(kinds).alias("c"))
         .select(
             *[F.col(c) if c in keys else F.col(f"c.row.`{c}`").alias(c) for c in columns],
@@ -97,15 +110,19 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str], version:
 
     Both snapshots go through one aggregation by key: a single shuffle, NULL keys are
     compared like any other, and a key that occurs twice is reported instead of multiplied.
+    Columns may be maps; inside structs and arrays there may be none.
     """
     columns = old.columns
+    maps = any(isinstance(f.dataType, T.MapType) for f in old.schema.fields)
+    only = F.first if maps else F.max  # one row a side, the other side's are NULL
+    more = [True] if maps else []
     row = F.struct(*columns)
     both = old.select(*keys, F.lit(True).alias("was"), row.alias("row")).unionByName(
         new.select(*columns).select(*keys, F.lit(False).alias("was"), row.alias("row"))
     )
     pairs = both.groupBy(*keys).agg(
-        F.max(F.when(F.col("was"), F.col("row"))).alias("old"),
-        F.max(F.when(~F.col("was"), F.col("row"))).alias("new"),
+        only(F.when(F.col("was"), F.col("row")), *more).alias("old"),
+        only(F.when(~F.col("was"), F.col("row")), *more).alias("new"),
         F.greatest(F.count_if(F.col("was")), F.count_if(~F.col("was"))).alias("copies"),
     )
     checked = F.when(

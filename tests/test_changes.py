@@ -108,3 +108,16 @@ def test_an_empty_log_changes_nothing(spark, log):
     mark = spark.createDataFrame([("t", 3)], "table_name string, processed_version bigint")
     state, marks = apply_change_feed(as_of(log, ["id"], 3), log.limit(0), mark, "t", ["id"])
     assert rows(state) == STATES[3] and rows(marks) == {("t", 3)}
+
+
+def test_diff_of_maps(spark):
+    kind = "id int, m map<string,int>, v int"
+    old = spark.createDataFrame([(1, {"a": 1, "b": 2}, 1), (2, {"a": 1}, 1), (3, None, 1), (4, {"x": 1}, 1)], kind)
+    new = spark.createDataFrame([(1, {"b": 2, "a": 1}, 1), (2, {"a": 2}, 1), (3, {}, 1), (5, {"y": None}, 1)], kind)
+    found = snapshot_diff(old, new, ["id"], 7, T0)
+    assert found.schema["m"].dataType == old.schema["m"].dataType
+    assert sorted((r.id, r._change_type) for r in found.collect()) == [
+        (2, "update_postimage"), (2, "update_preimage"), (3, "update_postimage"), (3, "update_preimage"), (4, "delete"), (5, "insert"),
+    ]
+    with pytest.raises(Exception, match="do not identify rows"):
+        snapshot_diff(old.unionAll(old), new, ["id"], 7, T0).collect()
