@@ -132,17 +132,18 @@ def parse_json_lines(lines: DataFrame, schema: T.StructType, rescued: str = RESC
     """Typed columns from a ``value`` column of JSON lines.
 
     Fields outside the schema, and fields that their column does not hold without loss at
-    every depth, are kept as JSON in the rescue column, each field of a line whole; what of
-    such a field fits stays in its column too. A line that is no JSON object is kept there whole.
+    every depth, are kept as JSON in the rescue column, each field of a line whole, with its
+    types and digits; what of such a field fits stays in its column too. A line that is no JSON object is kept there whole.
     """
     parsed = F.try_parse_json("value")
+    something = lambda x: ~F.coalesce(F.is_variant_null(x), F.lit(True))
     read = [
         _fitted(F.try_variant_get(parsed, "$['" + f.name.replace("'", "\\'") + "']", "variant"), f.dataType).alias(f"f{i}")
         for i, f in enumerate(schema.fields)
     ]
     rows = lines.select(
         "value", F.struct(*read, F.lit(0).alias("__")).alias("__v"),
-        F.from_json("value", "map<string,string>", {"mode": "PERMISSIVE"}).alias("__raw"), parsed.isNotNull().alias("__valid"),
+        F.try_variant_get(parsed, "$", "map<string,variant>").alias("__raw"), parsed.isNotNull().alias("__valid"),
     )
     if schema.fields:
         fits = F.map_from_arrays(
@@ -150,10 +151,10 @@ def parse_json_lines(lines: DataFrame, schema: T.StructType, rescued: str = RESC
             F.array(*[F.col(f"__v.f{i}.fits") for i in range(len(schema.fields))]),
         )
         left_over = F.map_filter(
-            "__raw", lambda k, x: x.isNotNull() & ~F.coalesce(F.try_element_at(fits, k), F.lit(False))
+            "__raw", lambda k, x: something(x) & ~F.coalesce(F.try_element_at(fits, k), F.lit(False))
         )
     else:
-        left_over = F.map_filter("__raw", lambda k, x: x.isNotNull())
+        left_over = F.map_filter("__raw", lambda k, x: something(x))
     whole_line = ~F.col("__valid") | F.col("__raw").isNull()
     rest = F.when(whole_line, F.col("value")).when(F.size(left_over) > 0, F.to_json(left_over))
     return rows.select(*[F.col(f"__v.f{i}.value").alias(f.name) for i, f in enumerate(schema.fields)], rest.alias(rescued))
