@@ -5,8 +5,10 @@ Every job writes to a new folder. Overwriting a folder that is being read would
 
 from __future__ import annotations
 
+import json
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -20,6 +22,8 @@ TARGET_BYTES = 256 * 1024 * 1024
 MAX_FILES = 1000
 MIN_AVERAGE_BYTES = 134_217_728
 MAX_ZORDER_COLUMNS = 4
+# Bits of a column at most: finer order comes from the columns themselves. Sampled texts for a bucket.
+_MOST_BITS, _TEXTS_PER_BUCKET = 13, 16
 # Fixed value: the folder name that stands for NULL in a partitioned table.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
@@ -70,51 +74,97 @@ def compact(
     return int(wanted)
 
 
+def _is_text(df: DataFrame, column: str) -> bool:
+    """Are bounds of the column compared as text? Types without an order of numbers are, by their text."""
+    kinds = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    return not isinstance(df.schema[column].dataType, kinds)
+
+
 def _ordinal(df: DataFrame, column: str) -> Column:
-    """A double that sorts like the column: numbers as they are, text by its first bytes."""
+    """A value that sorts like the column: a double, or the text itself."""
     kind = df.schema[column].dataType
     c = F.col(column)
-    if isinstance(kind, T.NumericType):
-        return c.cast("double")
-    if isinstance(kind, T.BooleanType):
-        return c.cast("int").cast("double")
     if isinstance(kind, T.DateType):
         return F.unix_date(c).cast("double")
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return F.unix_micros(c.cast("timestamp")).cast("double")
-    head = F.rpad(F.substring(F.hex(F.encode(c.cast("string"), "utf-8")), 1, 12), 12, "0")
-    return F.conv(head, 16, 10).cast("double")
+    if isinstance(kind, T.BooleanType):
+        return c.cast("int").cast("double")
+    return c.cast("string") if _is_text(df, column) else c.cast("double")
+
 
+def separators(values: Sequence[str], parts: int) -> list[str]:
+    """At most ``parts`` - 1 texts that cut sorted ``values`` into runs of about one size.
 
-def _with_bucket(df: DataFrame, name: str, value: Column, bounds: Sequence[float], bits: int) -> DataFrame:
-    """Add the number of sorted bounds a value has reached, below ``2**bits``, by halving."""
-    padded = sorted(set(bounds)) + [math.inf] * ((1 << bits) - len(set(bounds)))
-    steps = F.array(*[F.lit(float(b)) for b in padded])
+    Each is the shortest head of a value that is greater than the value before it, so that
+    long texts with much in common do not make long bounds.
+    """
+    found: list[str] = []
+    for i in range(1, parts if values else 0):
+        value = values[i * len(values) // parts]
+        at = bisect_left(values, value)
+        before = values[at - 1] if at else ""
+        same = next((n for n, (a, b) in enumerate(zip(value, before)) if a != b), min(len(value), len(before)))
+        head = value[: same + 1]
+        if value > before and (not found or head > found[-1]):
+            found.append(head)
+    return found
+
+
+def _bounds(df: DataFrame, cols: Sequence[str], parts: int, text_chars: int) -> dict[str, list]:
+    """Per column the values at which its buckets begin: from sketches, for text from a sample of bounded size."""
+    points = [i / parts for i in range(1, parts)]
+    numbers, texts = [c for c in cols if not _is_text(df, c)], [c for c in cols if _is_text(df, c)]
+    bounds: dict[str, list] = {}
+    if numbers:
+        sketches = df.agg(*[F.percentile_approx(_ordinal(df, c), points, 20 * parts).alias(c) for c in numbers]).first()
+        bounds |= {c: sorted({v for v in sketches[c] or [] if math.isfinite(v)}) for c in numbers}
+    if texts:
+        total, wanted = df.count(), _TEXTS_PER_BUCKET * parts
+        rows = df.sample(False, wanted / total, 7) if total > wanted else df
+        heads = [F.substring(_ordinal(df, c), 1, text_chars).alias(c) for c in texts]
+        sample = rows.select(*heads).collect()
+        for c in texts:
+            bounds[c] = separators(sorted(row[c] for row in sample if row[c] is not None), parts)
+    return bounds
+
+
+def _with_bucket(df: DataFrame, name: str, value: Column, bounds: Sequence) -> DataFrame:
+    """Add the number of sorted bounds a value has reached, by halving. NULL has reached none."""
+    kind = "string" if bounds and isinstance(bounds[0], str) else "double"
+    # One literal for all bounds; a place beyond the last one is NULL and never reached.
+    steps = F.from_json(F.lit(json.dumps(list(bounds))), f"array<{kind}>")
     df = df.withColumns({"__value": value, name: F.lit(0)})
-    for bit in reversed(range(bits)):
+    for bit in reversed(range(len(bounds).bit_length())):
         reached = F.col("__value") >= F.get(steps, F.col(name) + (1 << bit) - 1)
         df = df.withColumn(name, F.col(name) + F.when(reached, F.lit(1 << bit)).otherwise(F.lit(0)))
     return df.drop("__value")
 
 
-def zorder(df: DataFrame, cols: Sequence[str], files: int, bits: int = 6) -> DataFrame:
+def curve_bits(files: int, columns: int) -> int:
+    """Bits of each column: 16 times as many buckets as files can tell apart, within 62 bits in all."""
+    return min(62 // columns, _MOST_BITS, math.ceil(math.log2(max(2, files)) / columns) + 4)
+
+
+def zorder(df: DataFrame, cols: Sequence[str], files: int, bits: int | None = None, text_chars: int = 256) -> DataFrame:
     """Rows gathered and sorted along a curve that keeps all ``cols`` local.
 
-    Quantile bounds from a sketch give each column ``2**bits`` buckets of about equal
-    size; the bits of the buckets are interleaved into one number to sort by.
+    Quantile bounds give each column ``2**bits`` buckets of about equal size, by default as
+    many as ``files`` and the number of columns ask for; the bits of the buckets are
+    interleaved into one number to sort by. Numbers and dates have their bounds from a
+    sketch. Text is compared as text, with bounds from a sample of 16 rows a bucket; texts
+    that agree in their first ``text_chars`` characters share a bucket. Rows of one cell of
+    the curve are sorted by the columns themselves. NULL comes first. An empty table stays empty.
     """
     cols = list(cols)
     if not 1 <= len(cols) <= MAX_ZORDER_COLUMNS:
         raise ValueError(f"zorder takes 1 to {MAX_ZORDER_COLUMNS} columns")
-    parts = 1 << bits
-    points = [i / parts for i in range(1, parts)]
-    sketches = df.agg(
-        *[F.percentile_approx(_ordinal(df, c), points, 20 * parts).alias(c) for c in cols]
-    ).first()
+    bits = curve_bits(files, len(cols)) if bits is None else bits
+    bounds = _bounds(df, cols, 1 << bits, text_chars)
     curve = F.lit(0).cast("bigint")
     for position, c in enumerate(cols):
         bucket = f"__b{position}"
-        df = _with_bucket(df, bucket, _ordinal(df, c), sketches[c] or [], bits)
+        df = _with_bucket(df, bucket, _ordinal(df, c), bounds[c])
         for bit in range(bits):
             taken = F.shiftright(F.col(bucket).cast("bigint"), bit).bitwiseAND(F.lit(1))
             curve = curve + F.shiftleft(taken, bit * len(cols) + position)

@@ -3,7 +3,7 @@
 A plain window puts each group into one task. Where a probe finds groups with an outsized
 share of the rows, these are cut along the window order into slices; windows then run per
 slice, and what a slice needs from the ones before or after it is carried over through a
-table with one row per slice. The number of slices is bounded, whatever the table holds.
+table with one row per slice. Slices hold about as many rows as one task should take; beyond 16,384 of them they grow.
 """
 
 from __future__ import annotations
@@ -16,7 +16,8 @@ from tablewright.session import materialize
 
 SLICE = "__slice"
 _TASK = "__task"
-_SAMPLE_ROWS = 200_000
+_PARTS = 16_384  # outsized groups, and slices, at most about twice as many
+_PER_SLICE = 32  # sampled rows of a slice
 
 
 def descending(name: str) -> bool:
@@ -34,9 +35,9 @@ def sort_column(name: str) -> Column:
 class OrderedGroups:
     """Rows of ``df`` grouped by ``keys`` and ordered by ``order`` inside a group.
 
-    A name in ``order`` with a leading minus sorts descending. ``parts`` bounds both the
-    number of outsized groups and the share of the table one slice holds; tables of at
-    most ``min_rows`` rows are never sliced.
+    A name in ``order`` with a leading minus sorts descending. A group of more than
+    ``min_rows`` rows is cut into slices of about that size; no table has more than about
+    two slices per 1/``parts`` of its rows, so that where they begin fits into one broadcast.
 
     Rows that agree in keys and order cannot be told apart by a cut. With ``break_ties``
     a large set of them is ordered by the task it was read in, which is written down first
@@ -48,18 +49,18 @@ class OrderedGroups:
         df: DataFrame,
         keys: Sequence[str],
         order: Sequence[str],
-        parts: int = 1024,
         min_rows: int = 1_000_000,
+        parts: int = _PARTS,
         break_ties: bool = False,
     ):
         self.keys = list(keys)
         self.order = list(order)
         self.heavy_ties = False
-        bounds = self._bounds(df, parts, min_rows)
+        bounds = self._bounds(df, min_rows, parts)
         if self.heavy_ties and break_ties:
             df = materialize(df.withColumn(_TASK, F.spark_partition_id()))
             self.order.append(_TASK)
-            bounds = self._bounds(df, parts, min_rows)
+            bounds = self._bounds(df, min_rows, parts)
         self.sliced = bounds is not None
         self.df = self._cut(df, bounds) if self.sliced else df
 
@@ -71,17 +72,18 @@ class OrderedGroups:
     def window(self) -> WindowSpec:
         return Window.partitionBy(*self.by).orderBy(*[sort_column(o) for o in self.order])
 
-    def _bounds(self, df: DataFrame, parts: int, min_rows: int) -> list | None:
+    def _bounds(self, df: DataFrame, min_rows: int, parts: int) -> list | None:
         """Per outsized key the order values at which to cut, from a sample of the rows."""
         total = df.count()
         if total <= min_rows:
             return None
-        fraction = min(1.0, _SAMPLE_ROWS / total)
+        rows = max(total / parts, min_rows)
+        fraction = min(1.0, _PER_SLICE / rows)
         names = self.keys + [bare(o) for o in self.order]
         sample = df.select(*names)
         if fraction < 1.0:
             sample = sample.sample(False, fraction, 7)
-        step = max(1, int(max(total / parts, min_rows) * fraction))
+        step = max(1, int(rows * fraction))
         in_key = Window.partitionBy(*self.keys)
         cuts = (
             sample.withColumn("__n", F.count(F.lit(1)).over(in_key))
@@ -109,20 +111,20 @@ class OrderedGroups:
     def _cut(self, df: DataFrame, bounds: list) -> DataFrame:
         """Add the slice number: -1 in ordinary groups, the number of cuts passed in others."""
         cuts = df.sparkSession.createDataFrame(bounds, self._bounds_schema)
-        width = max(1, int(max(len(b) for _, b in bounds) ** 0.5))
-        # Two short searches (blocks, then inside a block) instead of one long one.
-        cuts = cuts.select(
-            F.col("k").alias("__k"),
-            F.expr(f"transform(sequence(0, size(bounds) - 1, {width}), i -> bounds[i])").alias("__heads"),
-            F.expr(f"transform(sequence(0, size(bounds) - 1, {width}), i -> slice(bounds, i + 1, {width}))").alias("__blocks"),
-        )
+        cuts = cuts.select(F.col("k").alias("__k"), F.col("bounds").alias("__bounds"))
+        powers = [1 << bit for bit in reversed(range(max(len(b) for _, b in bounds).bit_length()))]
         same_key = F.lit(True)
         for key in self.keys:
             same_key = same_key & F.col(key).eqNullSafe(F.col(f"__k.{key}"))
-        head = F.size(F.filter("__heads", self._reached))
-        inside = F.size(F.filter(F.element_at("__blocks", F.greatest(head, F.lit(1))), self._reached))
-        number = F.when(F.col("__heads").isNull(), F.lit(-1)).when(head == 0, F.lit(0))
-        number = number.otherwise((head - 1) * width + inside)
+
+        def further(number: Column, power: Column) -> Column:
+            there = number + power
+            passed = (there <= F.size("__bounds")) & self._reached(F.get("__bounds", there - 1))
+            return F.when(passed, there).otherwise(number)
+
+        # The number of bounds passed, by halving.
+        passed = F.reduce(F.array(*[F.lit(p) for p in powers]), F.lit(0), further)
+        number = F.when(F.col("__bounds").isNull(), F.lit(-1)).otherwise(passed)
         return df.join(F.broadcast(cuts), same_key, "left").select(*df.columns, number.alias(SLICE))
 
     def _reached(self, bound: Column) -> Column:

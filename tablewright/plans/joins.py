@@ -97,6 +97,20 @@ def salted_join(t: Tables) -> DataFrame:
     return ops.salted_join(lines, orders, ["l_orderkey"], "left")
 
 
+@query(
+    """SELECT event_id, e.event_type, user_id, seen, users FROM events e
+    LEFT JOIN (SELECT event_type, count(*) AS seen, count(DISTINCT user_id) AS users FROM events GROUP BY event_type) s
+      ON e.event_type = s.event_type"""
+)
+def salted_join_budget(t: Tables) -> DataFrame:
+    """Events with figures of their kind: of the few kinds each is split into tasks of about 500 rows."""
+    kinds = t.events.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("seen"), F.count_distinct("user_id").alias("users")
+    )
+    events = t.events.select("event_id", "event_type", "user_id")
+    return ops.salted_join(events, kinds, ["event_type"], "left", task_rows=500)
+
+
 @query(
     f"""WITH {inputs.SALES_SPLIT}
     SELECT l.id, CASE WHEN u.id IS NOT NULL THEN u.ts ELSE l.ts END AS ts,

@@ -52,22 +52,24 @@ _RANGES = {
 }
 
 
-def _read_by(t: Tables, path: str) -> DataFrame:
+def _read_by(t: Tables, path: str, asked: dict) -> DataFrame:
     """How many files of a table the range query has to open, as one value."""
     ranges = {
         c: tuple(moment(v) if isinstance(v, datetime) else F.lit(v) for v in bounds)
-        for c, bounds in _RANGES.items()
+        for c, bounds in asked.items()
     }
-    report = layout.skipping_report(t.spark.read.parquet(path), list(_RANGES), ranges)
+    report = layout.skipping_report(t.spark.read.parquet(path), list(asked), ranges)
     return report.agg(F.count_if("must_read"))
 
 
-def _layout_check(t: Tables, placed: DataFrame, files: int, label: str) -> DataFrame:
+def _layout_check(
+    t: Tables, table: DataFrame, placed: DataFrame, files: int, label: str, asked: dict = _RANGES
+) -> DataFrame:
     plain, ordered = scratch(t.spark, f"{label}-plain"), scratch(t.spark, f"{label}-ordered")
-    t.lineitem.repartition(files).write.parquet(plain)
+    table.repartition(files).write.parquet(plain)
     placed.write.parquet(ordered)
     return _compare(
-        t.lineitem, t.spark.read.parquet(ordered), _read_by(t, ordered), _read_by(t, plain), "fewer_files_read"
+        table, t.spark.read.parquet(ordered), _read_by(t, ordered, asked), _read_by(t, plain, asked), "fewer_files_read"
     )
 
 
@@ -79,13 +81,24 @@ _LAYOUT_SQL = """SELECT TRUE AS same_count, TRUE AS same_content, TRUE AS fewer_
 def zorder_layout(t: Tables) -> DataFrame:
     """Order lines along a curve over part and ship date."""
     files = _files(t.spark, f"{t.folder}/lineitem.parquet")
-    return _layout_check(t, layout.zorder(t.lineitem, ["l_partkey", "l_shipdate"], files), files, "zorder")
+    placed = layout.zorder(t.lineitem, ["l_partkey", "l_shipdate"], files)
+    return _layout_check(t, t.lineitem, placed, files, "zorder")
+
+
+@query(_LAYOUT_SQL.replace("lineitem", "customer"))
+def zorder_text(t: Tables) -> DataFrame:
+    """Customers along a curve over name and balance: the names agree in their first nine characters and more."""
+    files = _files(t.spark, f"{t.folder}/customer.parquet")
+    asked = {"c_name": ("Customer#000000010", "Customer#000000019")}
+    placed = layout.zorder(t.customer, ["c_name", "c_acctbal"], files)
+    return _layout_check(t, t.customer, placed, files, "zorder-text", asked)
 
 
 @query(_LAYOUT_SQL)
 def cluster_layout(t: Tables) -> DataFrame:
     files = _files(t.spark, f"{t.folder}/lineitem.parquet")
-    return _layout_check(t, layout.cluster(t.lineitem, ["l_shipdate", "l_partkey"], files), files, "cluster")
+    placed = layout.cluster(t.lineitem, ["l_shipdate", "l_partkey"], files)
+    return _layout_check(t, t.lineitem, placed, files, "cluster")
 
 
 @query(

@@ -49,6 +49,19 @@ def running_total(t: Tables) -> DataFrame:
     return totals.select("id", "category", F.col("running_total").cast("double").alias("running_total"))
 
 
+@query(
+    f"""SELECT id, category, rank() OVER (PARTITION BY category ORDER BY sales DESC) AS sales_rank,
+      CAST(sum(sales) OVER (PARTITION BY category ORDER BY sales DESC, id
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS running_total FROM ({_SALES})"""
+)
+def sliced_windows(t: Tables) -> DataFrame:
+    """Rank and running total with tasks of about 1,000 rows, so that every category is cut into slices."""
+    sales = _sales_by_category(t)
+    ranked = ordered.rank_in_group(sales, ["category"], ["-sales"], "sales_rank", min_rows=1_000)
+    totals = ordered.running_total(ranked, ["category"], ["-sales", "id"], "sales", "running_total", min_rows=1_000)
+    return totals.select("id", "category", "sales_rank", F.col("running_total").cast("double").alias("running_total"))
+
+
 _LINE_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
                "l_returnflag", "l_linestatus"]
 

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablewright.operators.aggregates import two_phase_agg
-from tablewright.operators.joins import broadcast_join, heavy_keys, measured_bytes, salted_join, touched_rows
+from tablewright.operators.joins import broadcast_join, heavy_keys, key_budgets, measured_bytes, salted_join, touched_rows
 
 
 @pytest.fixture(scope="module")
@@ -22,6 +22,29 @@ def test_salted_join_is_a_join(sides, how, hot):
     assert found.exceptAll(expected).count() == 0 and expected.exceptAll(found).count() == 0
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+@pytest.mark.parametrize("task_rows", [7, 300, 10_000])
+def test_salted_join_by_rows_of_a_task(sides, how, task_rows):
+    left, right = sides
+    expected = left.join(right, "k", how)
+    found = salted_join(left, right, ["k"], how, task_rows=task_rows).select(expected.columns)
+    assert found.exceptAll(expected).count() == 0 and expected.exceptAll(found).count() == 0
+
+
+def test_salts_follow_the_rows_of_a_key(spark):
+    """One key holds 90 % of the rows: no salt of it gets more than three times the rows of a task."""
+    key = F.when(F.col("id") % 10 > 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.pmod(F.hash("id"), F.lit(20)).cast("string")))
+    left = spark.range(40_000).select(key.alias("k"), F.lit(1).alias("j"), "id").repartition(8)
+    (found,) = key_budgets(left, ["k", "j"], 1_000)
+    assert found[:2] == ("hot", 1) and 30 <= found[2] <= 44
+    right = left.select("k", "j").distinct().withColumn("r", F.lit(1))
+    plan = salted_join(left, right, ["k", "j"], task_rows=1_000)
+    assert plan.count() == 40_000
+    salts = left.withColumn("s", F.pmod(F.hash("k", "j", "id") + F.spark_partition_id(), F.lit(1 << 20)) % found[2])
+    sizes = [r["count"] for r in salts.filter("k = 'hot'").groupBy("s").count().collect()]
+    assert len(sizes) == found[2] and max(sizes) <= 3 * sorted(sizes)[len(sizes) // 2]
+
+
 def test_copies_are_spread(spark):
     left = spark.range(0, 4000, 1, 16).select(F.lit(1).alias("k"), F.lit("same").alias("v"))
     right = spark.createDataFrame([(1, "x")], "k int, r string")

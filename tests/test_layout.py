@@ -69,6 +69,34 @@ def test_zorder_of_mixed_types_with_heavy_ties(spark):
         layout.zorder(df, list("abcde"), 8)
 
 
+def test_zorder_separates_text_with_a_common_head(spark, folder):
+    """Names that differ in their last characters only, and names that go on past the compared characters."""
+    df = spark.range(4000).select(
+        F.when(F.col("id") % 100 > 0, F.concat(F.lit("Customer#of the house "), F.lpad(F.col("id").cast("string"), 9, "0"))).alias("n"),
+        F.pmod(F.hash("id"), F.lit(1000)).alias("v"),
+        F.concat(F.lit("x" * 30), F.col("id").cast("string")).alias("long"),
+    )
+    layout.zorder(df, ["n", "v"], 16).write.parquet(folder)
+    found = spark.read.parquet(folder)
+    assert same_rows(found, df)
+    asked = {"n": (F.lit("Customer#of the house 000000501"), F.lit("Customer#of the house 000000520"))}
+    assert layout.skipping_report(found, ["n"], asked).filter("must_read").count() <= 6
+    assert same_rows(layout.zorder(df, ["long"], 4, text_chars=20), df)
+    assert layout.zorder(df.filter("false"), ["n", "v"], 4).count() == 0
+    assert layout.zorder(df.filter("n is null"), ["n"], 4).count() == 40
+
+
+def test_bounds_of_text():
+    values = sorted(f"name{i:04d}\u00e9" for i in range(1000))
+    cuts = layout.separators(values, 8)
+    assert cuts == sorted(set(cuts)) and len(cuts) == 7 and max(map(len, cuts)) <= 8
+    sizes = [sum(a <= v < b for v in values) for a, b in zip(["", *cuts], [*cuts, "~"])]
+    assert max(sizes) - min(sizes) <= 1
+    assert layout.separators([], 8) == [] and layout.separators(["a"] * 50, 8) == ["a"]
+    assert layout.separators(["", "a", "ab", "ab\n\"c"], 16) == ["a", "ab", "ab\n"]
+    assert layout.curve_bits(16, 2) == 6 and all(layout.curve_bits(1 << 40, n) * n <= 62 for n in (1, 2, 3, 4))
+
+
 def test_equal_rows_do_not_end_in_one_file(spark):
     df = spark.range(0, 8000, 1, 16).select(F.lit(1).alias("a"), F.lit(2).alias("b"))
     for placed in (layout.zorder(df, ["a", "b"], 8), layout.cluster(df, ["a", "b"], 8)):

@@ -114,3 +114,16 @@ def test_neighbours_among_copies(spark):
     found = g.with_neighbour(g.df, F.struct(F.col("s").alias("x")), "n")
     counts = {tuple(r) for r in found.groupBy("s", "n.x").count().collect()}
     assert g.sliced and counts == {(1, None, 1), (1, 1, 999), (2, 1, 1), (2, 2, 2)}
+
+
+def test_slices_hold_the_rows_of_a_task(spark):
+    """One key holds 90 % of the rows, half of them ties: the largest slice is at most three times the median."""
+    key = F.when(F.col("id") % 10 > 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), (F.col("id") % 70).cast("string")))
+    order = F.when(F.col("id") % 2 == 0, F.lit(5)).otherwise(F.col("id"))
+    df = spark.range(40_000).select(key.alias("k"), order.alias("s"), "id").repartition(8)
+    g = OrderedGroups(df, ["k"], ["s", "id"], min_rows=1_000)
+    sizes = sorted(r["count"] for r in g.df.filter("k = 'hot'").groupBy("__slice").count().collect())
+    assert 25 <= len(sizes) <= 50 and sizes[-1] <= 3 * sizes[len(sizes) // 2] and sum(sizes) == 36_000
+    found = running_total(df, ["k"], ["s"], "id", "t", min_rows=1_000).filter("k = 'hot'")
+    last = found.agg(F.max("t")).first()[0]
+    assert last == df.filter("k = 'hot'").agg(F.sum("id")).first()[0]
