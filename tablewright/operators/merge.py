@@ -15,7 +15,7 @@ Assignments = Mapping[str, "Column | str"]
 MatchedClause = tuple["Column | str | None", "Assignments | str"]
 InsertClause = tuple["Column | str | None", "Assignments | str"]
 
-_SOURCE = "__source"
+_SOURCE, _COPIES = "__source", "__copies"
 
 
 def delete_where(df: DataFrame, predicate: Column | str) -> DataFrame:
@@ -68,7 +68,9 @@ def merge(
 
     Target rows look their source row up in a left join, which Spark broadcasts when the
     source is small and in which it can split a key that holds much of the target; a full
-    outer join could do neither. Source rows whose key the target lacks are added.
+    outer join could do neither. Source rows whose key the target lacks are added; the keys
+    the sides share come from a second scan of the target, of its key columns alone. Whether
+    a source key occurs twice is looked up in the source only and seen at the rows it meets.
     """
     keys = list(on)
     if evolve:
@@ -90,27 +92,31 @@ def _row(df: DataFrame) -> Column:
 
 
 def _pairs(target: DataFrame, source: DataFrame, keys: Sequence[str], condition: Column | str | None, how: str) -> DataFrame:
-    """Matching rows as the structs ``t`` and ``s``."""
+    """Matching rows as the structs ``t`` and ``s``; without a condition also whether the source has the key twice."""
     lookup = source.select(*[F.col(f"`{k}`").alias(f"__key_{k}") for k in keys], _row(source).alias(_SOURCE))
+    if condition is None:
+        repeated = source.groupBy(*[F.col(f"`{k}`").alias(f"__twice_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("__n"))
+        repeated = repeated.filter(F.col("__n") > 1)
+        twice = [F.col(f"`__key_{k}`") == F.col(f"`__twice_{k}`") for k in keys]
+        lookup = lookup.join(repeated, twice, "left").withColumn(_COPIES, F.col("__n").isNotNull())
     flat = target.select(*[F.col(f"`{k}`").alias(f"__own_{k}") for k in keys], _row(target).alias("t"))
     same = [F.col(f"`__own_{k}`") == F.col(f"`__key_{k}`") for k in keys]
     if condition is not None:
         lookup = lookup.withColumnRenamed(_SOURCE, "s")
         return flat.join(lookup, [*same, holds(condition)], how).select("t", "s")
-    return flat.join(lookup, same, how).select("t", F.col(_SOURCE).alias("s"))
+    return flat.join(lookup, same, how).select("t", F.col(_SOURCE).alias("s"), _COPIES)
+
 
+def _clashes(target: DataFrame, source: DataFrame, keys: Sequence[str], condition: Column | str) -> Column:
+    """One value: are there (1) or are there not (0) several source rows for a target row?
 
-def _clashes(target: DataFrame, source: DataFrame, keys: Sequence[str], condition: Column | str | None) -> Column:
-    """One value: are there (1) or are there not (0) several source rows for a target row?"""
+    Only for rows with a repeated key it has to be seen which of them match.
+    """
     repeated = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-    if condition is not None:
-        # Only for rows with a repeated key it has to be seen which of them match.
-        several = source.join(repeated.drop("n"), list(keys), "left_semi").select(*source.columns)
-        numbered = target.withColumn("__number", F.monotonically_increasing_id())
-        counted = _pairs(numbered, several, keys, condition, "inner").groupBy("t.__number").count()
-        return counted.filter("count > 1").limit(1).agg(F.count(F.lit(1))).scalar()
-    hit = repeated.join(target.select(*keys), list(keys), "left_semi").limit(1)
-    return hit.agg(F.count(F.lit(1))).scalar()
+    several = source.join(repeated.drop("n"), list(keys), "left_semi").select(*source.columns)
+    numbered = target.withColumn("__number", F.monotonically_increasing_id())
+    counted = _pairs(numbered, several, keys, condition, "inner").groupBy("t.__number").count()
+    return counted.filter("count > 1").limit(1).agg(F.count(F.lit(1))).scalar()
 
 
 def _after_match(
@@ -122,8 +128,9 @@ def _after_match(
     condition: Column | str | None = None,
 ) -> DataFrame:
     columns, types, source_columns = target.columns, dict(target.dtypes), set(source.columns)
+    several = F.col(_COPIES) if condition is None else _clashes(target, source, keys, condition) > 0
     unique = F.when(
-        _clashes(target, source, keys, condition) > 0,
+        several,
         F.raise_error("merge: several source rows match one target row").cast("int"),
     )
     is_match = F.col("s").isNotNull()

@@ -102,3 +102,30 @@ def test_source_rows_that_a_condition_tells_apart_do_not_clash(spark):
     assert [tuple(r) for r in one.collect()] == [(1, 10)]
     with pytest.raises(Exception, match="several source rows"):
         merge(target, source, ["id"], [(None, "*")], [], condition=near).collect()
+
+
+def test_scans_of_the_target(spark, folder):
+    """One scan of whole rows and one of the keys; whether a source key occurs twice takes none."""
+    spark.range(1000).select("id", F.lit("old").alias("v")).write.parquet(f"{folder}/target")
+    spark.range(990, 1010).select(F.col("id").cast("int"), F.lit("new").alias("v")).write.parquet(f"{folder}/source")
+    target, source = spark.read.parquet(f"{folder}/target"), spark.read.parquet(f"{folder}/source")
+
+    def scans(df):
+        text = df._jdf.queryExecution().executedPlan().toString()
+        return [line for line in text.splitlines() if "FileScan" in line and "ReadSchema: struct<id:bigint" in line]
+
+    merged = merge(target, source, ["id"])
+    found = scans(merged)
+    assert len(found) == 2 and sum("ReadSchema: struct<id:bigint>" in line for line in found) == 1
+    assert len(scans(merge(target, source, ["id"], not_matched=[]))) == 1
+    assert merged.groupBy("v").count().orderBy("v").collect() == [("new", 20), ("old", 990)]
+
+
+def test_copies_in_the_source_matter_only_where_they_match(spark, target):
+    """Repeated keys, NULL ones too, are inserted when the target lacks them and refused when it has them."""
+    source = spark.createDataFrame([(8, "x"), (8, "x"), (None, "p"), (None, "q"), (1, "A")], "id int, v string")
+    merged = sorted((repr(r.id), r.v) for r in merge(target, source, ["id"]).collect() if r.id in (8, None, 1))
+    assert merged == [("1", "A"), ("8", "x"), ("8", "x"), ("None", "n"), ("None", "p"), ("None", "q")]
+    for matched in ([(None, DELETE)], [("false", "*")], [(None, "*")]):
+        with pytest.raises(Exception, match="several source rows"):
+            merge(target, source.unionByName(source.filter("id = 1")), ["id"], matched=matched).collect()
