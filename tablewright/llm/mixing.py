@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
-from tablewright.llm.common import WORD, n_words, permuted, running, stored
+from tablewright.llm.common import WORD, n_words, permuted, running, stored, tidied
 from tablewright.operators.joins import broadcast_join
 
 _TRIES = 32
@@ -131,7 +131,7 @@ def mixed_sources(
                 yield _deal(piece, block, seed) if len(piece) else piece.assign(taken=[], runs=[]).drop(columns=_INNER)
 
     out = T.StructType(joined.drop(*_INNER).schema.fields + T.StructType.fromDDL(_DEALT).fields)
-    dealt = joined.mapInPandas(deal, out)
+    dealt = joined.mapInPandas(tidied(deal), out)
     return dealt.select(
         F.col("__id").alias(id_col), F.col("__size").alias("size"), "source_size", "target", "taken", "runs",
         *[F.col(k).alias(c) for c, k in named.items() if c != id_col],
@@ -203,5 +203,5 @@ def mixed_documents(
             out[place] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(out, names=kept.schema.names)
 
-    taken = mix.mapInArrow(cut, named.schema)
+    taken = mix.mapInArrow(tidied(cut), named.schema)
     return taken.withColumnsRenamed({k: c for c, k in columns.items()})

@@ -12,6 +12,8 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tablewright.llm.common import release, tidied
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 # The sign that stands for a space, and how far below all pieces a character without one is.
 _SPACE = "▁"
@@ -118,6 +120,11 @@ def pieces(model: bytes) -> Pieces:
     return _CODERS[key]
 
 
+def _forget() -> None:
+    _CODERS.clear()
+    release()
+
+
 def _shared(spark: SparkSession, model: str):
     with open(model, "rb") as file:
         return spark.sparkContext.broadcast(file.read())
@@ -150,7 +157,7 @@ def encoded(
                     yield pa.RecordBatch.from_arrays([*part.columns, column], names=[*part.schema.names, ids_col])
                     begin, held, rows = i + 1, 0, []
 
-    return docs.mapInArrow(encode, T.StructType(docs.schema.fields + [T.StructField(ids_col, kind)]))
+    return docs.mapInArrow(tidied(encode, _forget), T.StructType(docs.schema.fields + [T.StructField(ids_col, kind)]))
 
 
 def decoded(docs: DataFrame, ids_col: str = "piece_ids", text_col: str = "decoded", model: str = MODEL) -> DataFrame:
@@ -172,4 +179,4 @@ def decoded(docs: DataFrame, ids_col: str = "piece_ids", text_col: str = "decode
                 texts.append(None if value is None else coder.decode(value))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, text_col])
 
-    return docs.mapInArrow(decode, T.StructType(docs.schema.fields + [T.StructField(text_col, T.StringType())]))
+    return docs.mapInArrow(tidied(decode, _forget), T.StructType(docs.schema.fields + [T.StructField(text_col, T.StringType())]))

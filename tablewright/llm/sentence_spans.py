@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from tablewright.llm.common import stored
+from tablewright.llm.common import stored, tidied
 
 #: A sentence with its end marks and the white space after them; all of them together are the text.
 SENTENCE = r"[^.!?\n]*[.!?\n]+[ \t\n\x0b\x0c\r]*|[^.!?\n]+"
@@ -111,7 +111,7 @@ def without_repeated_spans(
             if row:
                 yield out()
 
-    found = stored(rows.mapInArrow(spans, schema), "spans")
+    found = stored(rows.mapInArrow(tidied(spans), schema), "spans")
     fresh = found.filter(~F.col("again"))
     firsts = fresh.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.count("*").alias("docs")).filter("docs > 1")
     later = fresh.join(firsts.drop("docs"), ["h1", "h2"]).filter(~F.col("id").eqNullSafe(F.col("first")))
@@ -144,4 +144,4 @@ def without_repeated_spans(
                 [*columns, pa.array(counts, pa.int32()), pa.array(removed, pa.int32())], names=result.names
             )
 
-    return kept.mapInArrow(cut, result)
+    return kept.mapInArrow(tidied(cut), result)

@@ -11,7 +11,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tablewright.llm.common import stored
+from tablewright.llm.common import release, stored, tidied
 from tablewright.operators.joins import broadcast_join
 
 _TOKEN = re.compile(r"[^\W\d_]+")
@@ -56,6 +56,11 @@ _HASHES = _Hashes()
 _CACHE = 100_000  # words
 
 
+def _forget() -> None:
+    _HASHES.clear()
+    release()
+
+
 def words_of(text: str | None) -> np.ndarray:
     """32-bit hashes of the distinct words of a text, lower-cased, in order."""
     found = set(_TOKEN.findall((text or "").lower()))
@@ -79,9 +84,8 @@ def features(rows: DataFrame) -> DataFrame:
                 words.append(words_of(text).tobytes())
             columns = [batch.column(batch.schema.get_field_index(name)) for name in kept]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(shapes, pa.binary()), pa.array(words, pa.binary())], names=[*kept, "shape", "words"])
-        _HASHES.clear()
 
-    return rows.mapInArrow(work, kind)
+    return rows.mapInArrow(tidied(work, _forget), kind)
 
 
 def _unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -161,7 +165,7 @@ def train(labelled: DataFrame, max_rows: int = 20_000, max_words: int = 300, rid
             all_ = np.bincount(which, minlength=len(distinct)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in (distinct.astype(np.int64), all_, *sums)], names=["word", "n", "a", "b"])
 
-    counts = labelled.select("shape", "words", "against").mapInArrow(count, "word bigint, n bigint, a bigint, b bigint")
+    counts = labelled.select("shape", "words", "against").mapInArrow(tidied(count), "word bigint, n bigint, a bigint, b bigint")
     counts = stored(counts.groupBy("word").agg(F.sum("n").alias("n"), F.sum("a").alias("a"), F.sum("b").alias("b")), "label-words")
     chosen: set[int] = set()
     for name, label in zip("ab", positive):
@@ -253,7 +257,7 @@ def site_quality(
             kept = [batch.column(batch.schema.get_field_index(c)) for c in ("id", "host", "path", "version")]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(np.round(found * 1e6).astype(np.int64))], names=["id", "host", "path", "version", "ppm"])
 
-    scored = rows.mapInArrow(score, rows.select("id", "host", "path", "version").schema.add("ppm", "long"))
+    scored = rows.mapInArrow(tidied(score), rows.select("id", "host", "path", "version").schema.add("ppm", "long"))
     scored = stored(scored, "evidence")
     scored = scored.withColumns({"host": F.coalesce(F.concat(F.lit("="), "host"), F.lit("")), "path": F.coalesce(F.concat(F.lit("="), "path"), F.lit(""))})
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -11,7 +11,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tablewright.llm.common import mixed, stored
+from tablewright.llm.common import mixed, release, stored, tidied
 from tablewright.llm.graph import components
 
 _CACHE = 200_000  # words, as long as a batch is worked on
@@ -32,6 +32,14 @@ class _Hashes(dict):
 _HASHES = _Hashes()
 
 
+def _after(work: Callable, *frames: pd.DataFrame) -> pd.DataFrame:
+    """What ``work`` makes of a group; its memory and the words seen are given back."""
+    made = work(*frames)
+    _HASHES.clear()
+    release()
+    return made
+
+
 def shingles(text: str | None, words: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the distinct runs of ``words`` words, lower-cased, and how often each occurs.
 
@@ -155,7 +163,6 @@ def shared_sets(docs: DataFrame, words: int, least: float, bands: int, rows: int
         bucket = (keys >> np.uint64(_KEY)).astype(np.int64)
         cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True]) if len(keys) else [0]
         pieces = list(zip(cuts[:-1], cuts[1:]))
-        _HASHES.clear()
         return _typed(
             {
                 "batch": [frame["batch"].iloc[0]] * len(pieces),
@@ -220,13 +227,13 @@ def shared_sets(docs: DataFrame, words: int, least: float, bands: int, rows: int
                     "signature": [row.astype(np.uint32).tobytes() for row in drawn],
                     "keys": list(total.astype(np.int64)),
                 }
-            _HASHES.clear()
         return _typed(out)
 
     kind = "batch bigint, bucket bigint, keys binary, counts binary"
-    back = dealt.applyInPandas(send, kind).groupBy("bucket").applyInPandas(add, kind)
+    back = dealt.applyInPandas(lambda frame: _after(send, frame), kind)
+    back = back.groupBy("bucket").applyInPandas(lambda frame: _after(add, frame), kind)
     return dealt.cogroup(back.groupBy("batch")).applyInPandas(
-        weigh, "mark string, hashes binary, weights binary, signature binary, keys array<bigint>"
+        lambda frame, back: _after(weigh, frame, back), "mark string, hashes binary, weights binary, signature binary, keys array<bigint>"
     )
 
 
@@ -251,7 +258,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
                 names=["a", "b", "similarity"],
             )
 
-    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(measure, "a string, b string, similarity double")
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(tidied(measure), "a string, b string, similarity double")
 
 
 def _across(members: DataFrame, buckets: DataFrame, sets: DataFrame, bands_rows: int, least: float) -> DataFrame:

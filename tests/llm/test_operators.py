@@ -6,6 +6,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -485,3 +486,21 @@ def test_long_texts_and_all_parts_train(spark, monkeypatch):
     made = scored(spark.createDataFrame(rows, "doc_id bigint, text string"), steps=40).collect()
     long = next(r for r in made if r["doc_id"] == 0)
     assert not long["held_out"] and long["score"] / long["n_tokens"] > math.log10(0.5)  # its word counts give below 0.25
+
+
+def test_workers_keep_no_caches_between_tasks(spark):
+    """Spark keeps Python workers; what one operator looked up is not held through the next ones."""
+    rows = spark.createDataFrame([(i, f"word{i} again and again. Sentence {i} here.", "en", "s") for i in range(200)], "doc_id bigint, text string, lang string, source string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(200)], "doc_id bigint, quality int, toxic int")
+    for made in (site_quality(rows, labels), near_duplicates(rows), decoded(encoded(rows))):
+        made.write.format("noop").mode("overwrite").save()
+
+    def held(batches):
+        from tablewright.llm import pieces, site_quality, weighted_minhash
+
+        for _ in batches:
+            sizes = [len(site_quality._HASHES), len(weighted_minhash._HASHES), len(pieces._CODERS)]
+            yield pa.RecordBatch.from_pydict({"n": [sum(sizes)]})
+
+    found = spark.range(64).repartition(32).mapInArrow(held, "n bigint").collect()
+    assert found and not any(row["n"] for row in found)
