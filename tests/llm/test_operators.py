@@ -23,7 +23,7 @@ from tablewright.llm.posting_lists import Graph, _lifted, fit_centroids, nearest
 from tablewright.llm.quotations import keys_of, linked
 from tablewright.llm.sentence_spans import without_repeated_spans
 from tablewright.llm.site_quality import site_quality
-from tablewright.llm.tokens import VOCABULARY, encoder, ranks_of
+from tablewright.llm.tokens import PATTERN, VOCABULARY, encoder, ranks_of
 from tablewright.llm.training_order import read_slots, training_order
 from tablewright.llm.weighted_minhash import near_duplicates
 
@@ -504,3 +504,15 @@ def test_workers_keep_no_caches_between_tasks(spark):
 
     found = spark.range(64).repartition(32).mapInArrow(held, "n bigint").collect()
     assert found and not any(row["n"] for row in found)
+
+
+def test_tokens_by_a_pattern_without_look_ahead():
+    with open(VOCABULARY, "rb") as file:
+        coder = encoder(file.read())
+    assert "(?!" not in coder.coder._pat_str and "++" not in coder.coder._pat_str
+    plain = tiktoken.Encoding("plain", pat_str=PATTERN, mergeable_ranks=coder.coder._mergeable_ranks, special_tokens={})
+    rng = np.random.default_rng(9)
+    parts = [*"a1.'é 　�\x1c\x85\t\n ", "  ", "\r\n", "'ll", "<|end|>", " <", "\n\n\n"]
+    for n in rng.integers(0, 12, 3000):
+        text = "".join(rng.choice(parts, n))
+        assert np.frombuffer(coder.packed(text), coder.kind).tolist() == plain.encode_ordinary(text)
