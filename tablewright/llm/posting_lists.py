@@ -15,6 +15,7 @@ from tablewright.operators.joins import broadcast_join
 
 _SEEDS, _LINKS, _BLOCK = 64, 24, 2_048
 _SAMPLE_BYTES = 128_000_000  # of vectors that the centroids are fitted on
+_GROWTH = 16  # rows that a query looks at in a step, against all before
 _CELLS = 16_000_000  # vectors times centroids that are looked at together
 
 
@@ -121,7 +122,11 @@ class Graph:
 
 
     def within(self, x: np.ndarray, ratio: float, beam: int, fill: np.ndarray, enough: int) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs of vector and list: the lists at most ``ratio`` times as far as the nearest, and those nearest that hold ``enough`` rows.
+        """Pairs of vector and list: the lists at most ``ratio`` times as far as the nearest, and those nearest that hold ``enough`` rows."""
+        return self.reads(x, ratio, beam, fill, enough)[:2]
+
+    def reads(self, x: np.ndarray, ratio: float, beam: int, fill: np.ndarray, enough: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The pairs of ``within``, and how many rows the lists nearer than each hold.
 
         The graph is searched for ``beam`` centroids. Where the last of them does not lie beyond
         the ratio, or they hold too few rows, all centroids are looked at instead.
@@ -131,7 +136,7 @@ class Graph:
         read = ((far <= ratio * far[:, :1]) | (held - fill[ids] < enough)) & np.isfinite(far)
         whole = ~read[:, -1] & np.isfinite(far[:, -1])
         row, at = np.nonzero(read & whole[:, None])
-        rows, lists = [row], [ids[row, at]]
+        rows, lists, before = [row], [ids[row, at]], [(held - fill[ids])[row, at]]
         rest = np.flatnonzero(~whole)
         half = (self.centroids**2).sum(1) / 2
         for part in np.array_split(rest, len(rest) * len(half) // _CELLS + 1):
@@ -143,7 +148,8 @@ class Graph:
                 row, at = np.nonzero((far <= ratio * far[:, :1]) | (held - fill[order] < enough))
                 rows.append(part[row])
                 lists.append(order[row, at])
-        return np.concatenate(rows), np.concatenate(lists)
+                before.append((held - fill[order])[row, at])
+        return np.concatenate(rows), np.concatenate(lists), np.concatenate(before)
 
 
 def _lifted(x: np.ndarray, reach: float) -> np.ndarray:
@@ -173,7 +179,9 @@ def nearest(
     whose centroids are at most ``edge`` times as far. A query reads all lists whose distance is
     at most ``ratio`` times the smallest, and the nearest ones until they hold ``copies * (k + 1)``
     rows; the graph finds them, or where there are more than ``beam`` of them a look at all
-    centroids. Equal vectors are one entry with its k + 1 smallest ids, which is all that a
+    centroids. The lists are read in a few steps, each of about 16 times as many rows as all
+    before; of a later step only those entries come out that reach the (k + 1)-th best score
+    so far, as no other can be in the result. Equal vectors are one entry with its k + 1 smallest ids, which is all that a
     result can need.
 
     NULL ids, and vectors that are NULL, zero, or hold NULL or non-finite components, take
@@ -230,38 +238,54 @@ def _nearest(
             if not len(frame):
                 continue
             x = np.stack(frame["v"].to_numpy()) / np.array([max(np.linalg.norm(v), 1e-300) for v in frame["v"]])[:, None]
-            row, lists = shared.value.within(np.c_[x, np.zeros(len(x))], ratio, beam, fill, enough)
+            row, lists, before = shared.value.reads(np.c_[x, np.zeros(len(x))], ratio, beam, fill, enough)
+            step = np.ceil(np.log(np.maximum(before + 1, enough) / enough) / np.log(_GROWTH)).astype(np.int32)
             for part in np.array_split(np.arange(len(row)), len(row) * width // 2_000_000 + 1):
-                yield frame.iloc[row[part]].assign(list=lists[part].astype(np.int32))
+                yield frame.iloc[row[part]].assign(list=lists[part].astype(np.int32), step=step[part])
 
-    asked = classes.filter("asks").select("class", "v").mapInPandas(probe, "class bigint, v array<double>, list int")
+    asked = classes.filter("asks").select("class", "v").mapInPandas(probe, "class bigint, v array<double>, list int, step int")
     asked = stored(asked, "probes")
-    reads = asked.groupBy("list").agg(F.count("*").alias("m"))
-    blocks = stored(
-        sizes.join(reads, "list").select("list", F.ceil(F.col("n") / _BLOCK).cast("int").alias("a"), F.ceil(F.col("m") / _BLOCK).cast("int").alias("b")),
-        "list-blocks",
-    )
 
-    def dealt(side: DataFrame, own: str, other: str) -> DataFrame:
+    def dealt(side: DataFrame, blocks: DataFrame, own: str, other: str, *more: str) -> DataFrame:
         cut = broadcast_join(side, blocks, "list")
         cut = cut.withColumn(own + "i", F.pmod(F.xxhash64("class"), F.col(own)).cast("int"))
         cut = cut.withColumn(other + "i", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
-        return cut.select("list", "ai", "bi", "class", "v").groupBy("list", "ai", "bi")
+        return cut.select("list", "ai", "bi", "class", "v", *more).groupBy("list", "ai", "bi")
 
     def compare(entries: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if not len(entries) or not len(queries):
             return pd.DataFrame({"q": [], "class": [], "score": []})
         entries = entries.sort_values("class", kind="stable")
         v, names = np.stack(entries["v"].to_numpy()), entries["class"].to_numpy()
-        q = np.stack(queries["v"].to_numpy())
-        top = np.argsort(-(q @ v.T), 1, kind="stable")[:, : k + 8]
-        exact = np.einsum("nd,nkd->nk", q, v[top])
-        row = np.repeat(queries["class"].to_numpy(), top.shape[1])
-        return pd.DataFrame({"q": row, "class": names[top].ravel(), "score": exact.ravel()})
-
-    found = dealt(postings, "a", "b").cogroup(dealt(asked, "b", "a")).applyInPandas(compare, "q bigint, class bigint, score double")
-    found = stored(found, "near-vectors").groupBy("q", "class").agg(F.max("score").alias("score"))
-    best = found.withColumn("n", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "class"))).filter(F.col("n") <= k + 1)
+        q, ask = np.stack(queries["v"].to_numpy()), queries["class"].to_numpy()
+        # What reaches the bound but for rounding; most queries find none in a list that is not near.
+        bound = queries["bound"].to_numpy(np.float64, na_value=-np.inf)
+        bound = bound - 1e-9 * np.linalg.norm(q, axis=1) * np.linalg.norm(v, axis=1).max()
+        near = q @ v.T
+        live = np.flatnonzero(near.max(1) >= bound)
+        top = np.argsort(-near[live], 1, kind="stable")[:, : k + 8]
+        exact = np.einsum("nd,nkd->nk", q[live], v[top])
+        row, at = np.nonzero(exact >= bound[live, None])
+        return pd.DataFrame({"q": ask[live[row]], "class": names[top[row, at]], "score": exact[row, at]})
+
+    def compared(some: DataFrame, label: str) -> DataFrame:
+        """Entries of each query's lists, the best of each list, with their scores."""
+        reads = some.groupBy("list").agg(F.count("*").alias("m"))
+        cuts = [F.ceil(F.col(n) / _BLOCK).cast("int").alias(c) for n, c in (("n", "a"), ("m", "b"))]
+        blocks = stored(sizes.join(reads, "list").select("list", *cuts), "list-blocks")
+        pairs = dealt(postings, blocks, "a", "b").cogroup(dealt(some, blocks, "b", "a", "bound"))
+        return stored(pairs.applyInPandas(compare, "q bigint, class bigint, score double"), label)
+
+    def ranked(found: DataFrame) -> DataFrame:
+        once = found.groupBy("q", "class").agg(F.max("score").alias("score"))
+        return once.withColumn("n", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "class"))).filter(F.col("n") <= k + 1)
+
+    last = asked.agg(F.max("step")).first()[0] or 0
+    best = stored(ranked(compared(asked.filter("step = 0").withColumn("bound", F.lit(None).cast("double")), "near-vectors")), "best")
+    for step in range(1, last + 1):
+        bounds = best.filter(F.col("n") == k + 1).select(F.col("q").alias("class"), F.col("score").alias("bound"))
+        more = compared(asked.filter(F.col("step") == step).join(bounds, "class", "left"), "near-vectors")
+        best = stored(ranked(best.select("q", "class", "score").unionAll(more)), "best")
     named = best.select("q", "class", "score").join(members, "class")
     named = named.withColumn("n", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "id"))).filter(F.col("n") <= k + 1)
     answers = stored(named.groupBy("q").agg(F.array_sort(F.collect_list(F.struct("n", "id", "score"))).alias("found")), "answers")

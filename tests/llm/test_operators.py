@@ -15,7 +15,7 @@ import corpus_pipeline
 from tablewright.llm.attention import END, START, WINDOW, Attention, packed, train, unpacked, windows
 from tablewright.llm.common import permuted
 from tablewright.llm.lm_scores import scored, words_of
-from tablewright.llm import lm_scores, weighted_minhash
+from tablewright.llm import lm_scores, posting_lists, weighted_minhash
 from tablewright.llm.mixing import mixed_documents, mixed_sources
 from tablewright.llm.order_minhash import fingerprints, signature
 from tablewright.llm.pieces import decoded, encoded
@@ -516,3 +516,23 @@ def test_tokens_by_a_pattern_without_look_ahead():
     for n in rng.integers(0, 12, 3000):
         text = "".join(rng.choice(parts, n))
         assert np.frombuffer(coder.packed(text), coder.kind).tolist() == plain.encode_ordinary(text)
+
+
+def test_lists_give_only_entries_that_can_be_in_the_result(spark, monkeypatch):
+    kept, made = posting_lists.stored, []
+
+    def counted(df, label):
+        rows = kept(df, label)
+        if label == "near-vectors":
+            made.append(rows.count())
+        return rows
+
+    monkeypatch.setattr(posting_lists, "stored", counted)
+    x = np.random.default_rng(6).normal(size=(4_000, 8)).astype(np.float32)
+    rows = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "vec_id bigint, embedding array<float>")
+    found = nearest(rows, list_size=32, ratio=100.0).collect()  # every list is read
+    v = x.astype(float)
+    for q in range(0, 4_000, 20):
+        best = [int(i) for i in np.lexsort((np.arange(4_000), -(v @ v[q]))) if i != q][:20]
+        assert [r["vec_id"] for r in sorted((r for r in found if r["query_id"] == q), key=lambda r: r["rank"])] == best
+    assert sum(made) < 200 * 600
