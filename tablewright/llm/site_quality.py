@@ -54,6 +54,7 @@ class _Hashes(dict):
 
 _HASHES = _Hashes()
 _CACHE = 100_000  # words
+_ROWS = 2_048  # that the fit looks at together
 
 
 def _forget() -> None:
@@ -106,14 +107,19 @@ def _parts(batch: pa.RecordBatch, most: int = 300_000) -> Iterator[pa.RecordBatc
 
 def logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray, ridge: float, rounds: int = 25) -> np.ndarray:
     """Weights of a ridge logistic regression by Newton's method; the last one is the intercept. Rows count ``n`` times."""
-    x = np.c_[x, np.ones(len(x))]
-    w = np.zeros(x.shape[1])
-    penalty = np.full(x.shape[1], ridge)
+    w = np.zeros(x.shape[1] + 1)
+    penalty = np.full(len(w), ridge)
     penalty[-1] = 1e-3
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        v = n * np.maximum(p * (1 - p), 1e-6)
-        step = np.linalg.solve((x * v[:, None]).T @ x + np.diag(penalty), x.T @ (n * (y - p)) - penalty * w)
+        curve, slope = np.diag(penalty), -penalty * w
+        for at in range(0, len(x), _ROWS):
+            part = slice(at, at + _ROWS)
+            own = np.c_[x[part], np.ones(len(x[part]))]
+            p = 1 / (1 + np.exp(-np.clip(own @ w, -30, 30)))
+            v = n[part] * np.maximum(p * (1 - p), 1e-6)
+            curve += (own * v[:, None]).T @ own
+            slope += own.T @ (n[part] * (y[part] - p))
+        step = np.linalg.solve(curve, slope)
         w += step
         if np.abs(step).max() < 1e-6:
             break
@@ -189,9 +195,9 @@ def train(labelled: DataFrame, max_rows: int = 20_000, max_words: int = 300, rid
     scale = np.sqrt(np.average((shapes - mean) ** 2, 0, times)) + 1e-3
     model = Model(np.array(sorted(chosen), np.uint32), mean, scale, np.zeros(0))
     x, rows, words = model.inputs(batch)
-    flags = np.zeros((len(x), len(chosen)))
-    flags[rows, words] = 1
-    full = np.c_[x, flags]
+    full = np.zeros((len(x), x.shape[1] + len(chosen)))
+    full[:, : x.shape[1]] = x
+    full[rows, x.shape[1] + words] = 1
     y = np.array(batch.column("against").to_pylist(), float)
 
     def fitted(label: np.ndarray) -> np.ndarray:

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -22,7 +23,7 @@ from tablewright.llm.pieces import decoded, encoded
 from tablewright.llm.posting_lists import Graph, _lifted, fit_centroids, nearest
 from tablewright.llm.quotations import keys_of, linked
 from tablewright.llm.sentence_spans import without_repeated_spans
-from tablewright.llm.site_quality import site_quality
+from tablewright.llm.site_quality import logistic, site_quality
 from tablewright.llm.tokens import PATTERN, VOCABULARY, encoder, ranks_of
 from tablewright.llm.training_order import read_slots, training_order
 from tablewright.llm.weighted_minhash import near_duplicates
@@ -536,3 +537,16 @@ def test_lists_give_only_entries_that_can_be_in_the_result(spark, monkeypatch):
         best = [int(i) for i in np.lexsort((np.arange(4_000), -(v @ v[q]))) if i != q][:20]
         assert [r["vec_id"] for r in sorted((r for r in found if r["query_id"] == q), key=lambda r: r["rank"])] == best
     assert sum(made) < 200 * 600
+
+
+def test_the_fit_needs_little_memory_beside_its_rows():
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(20_000, 100))
+    y = (rng.random(20_000) < 1 / (1 + np.exp(-x[:, 0]))).astype(float)
+    tracemalloc.start()
+    w = logistic(x, y, np.ones(len(x)), 1.0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    p = 1 / (1 + np.exp(-(x @ w[:-1] + w[-1])))
+    assert abs(w[0] - 1) < 0.1 and np.abs(x.T @ (y - p) - w[:-1]).max() < 1e-3
+    assert peak < x.nbytes / 2
