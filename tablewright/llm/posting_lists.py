@@ -268,24 +268,26 @@ def _nearest(
         row, at = np.nonzero(exact >= bound[live, None])
         return pd.DataFrame({"q": ask[live[row]], "class": names[top[row, at]], "score": exact[row, at]})
 
-    def compared(some: DataFrame, label: str) -> DataFrame:
-        """Entries of each query's lists, the best of each list, with their scores."""
+    def compared(step: int, bounds: DataFrame | None) -> DataFrame:
+        """Entries of the lists that each query reads in a step, the best of each list, with their scores."""
+        some = asked.filter(F.col("step") == step)
         reads = some.groupBy("list").agg(F.count("*").alias("m"))
         cuts = [F.ceil(F.col(n) / _BLOCK).cast("int").alias(c) for n, c in (("n", "a"), ("m", "b"))]
         blocks = stored(sizes.join(reads, "list").select("list", *cuts), "list-blocks")
+        bound = F.lit(None).cast("double").alias("bound")
+        some = some.join(bounds, "class", "left") if bounds else some.select("*", bound)
         pairs = dealt(postings, blocks, "a", "b").cogroup(dealt(some, blocks, "b", "a", "bound"))
-        return stored(pairs.applyInPandas(compare, "q bigint, class bigint, score double"), label)
+        return stored(pairs.applyInPandas(compare, "q bigint, class bigint, score double"), "near-vectors")
 
     def ranked(found: DataFrame) -> DataFrame:
         once = found.groupBy("q", "class").agg(F.max("score").alias("score"))
         return once.withColumn("n", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "class"))).filter(F.col("n") <= k + 1)
 
     last = asked.agg(F.max("step")).first()[0] or 0
-    best = stored(ranked(compared(asked.filter("step = 0").withColumn("bound", F.lit(None).cast("double")), "near-vectors")), "best")
+    best = stored(ranked(compared(0, None)), "best")
     for step in range(1, last + 1):
         bounds = best.filter(F.col("n") == k + 1).select(F.col("q").alias("class"), F.col("score").alias("bound"))
-        more = compared(asked.filter(F.col("step") == step).join(bounds, "class", "left"), "near-vectors")
-        best = stored(ranked(best.select("q", "class", "score").unionAll(more)), "best")
+        best = stored(ranked(best.select("q", "class", "score").unionAll(compared(step, bounds))), "best")
     named = best.select("q", "class", "score").join(members, "class")
     named = named.withColumn("n", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "id"))).filter(F.col("n") <= k + 1)
     answers = stored(named.groupBy("q").agg(F.array_sort(F.collect_list(F.struct("n", "id", "score"))).alias("found")), "answers")
