@@ -14,47 +14,59 @@ from pyspark.sql import DataFrame, functions as F
 from tablewright.llm.common import mixed, release, stored, tidied
 from tablewright.llm.graph import components
 
-_CACHE = 200_000  # words, as long as a batch is worked on
 _KEY = 40  # bits of a shingle hash that tell shingles of one bucket apart
 _TOGETHER = 2_000  # members of a bucket that are compared in one task
 _BYTES = 64_000_000  # and the size of their sets
 _BLOCK = 65_536  # shingles that are sampled at a time
-
-
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > _CACHE:
-            self.clear()
-        self[word] = number = xxhash.xxh3_64_intdigest(word)
-        return number
-
-
-_HASHES = _Hashes()
+_TEXTS = 64  # texts that are cut at a time
+_HASHES: dict[bytes, int] = {}  # stays empty: hashing a word again is cheaper than looking it up
 
 
 def _after(work: Callable, *frames: pd.DataFrame) -> pd.DataFrame:
-    """What ``work`` makes of a group; its memory and the words seen are given back."""
+    """What ``work`` makes of a group; its memory is given back."""
     made = work(*frames)
-    _HASHES.clear()
     release()
     return made
 
 
-def shingles(text: str | None, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the distinct runs of ``words`` words, lower-cased, and how often each occurs.
-
-    A shorter text is one shingle; a text without words has none.
-    """
-    found = (text or "").lower().encode().split()
-    if not found:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    hashes = np.fromiter(map(_HASHES.__getitem__, found), np.uint64, len(found))
-    k = min(words, len(hashes))
+def _runs(hashes: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of the runs of ``k`` words that begin at each word."""
     n = len(hashes) - k + 1
     total = np.full(n, k, np.uint64)
     for i in range(k):
-        total = total * np.uint64(0x9E3779B97F4A7C15) + hashes[i : i + n]
-    return np.unique(mixed(total), return_counts=True)
+        total *= np.uint64(0x9E3779B97F4A7C15)
+        total += hashes[i : i + n]
+    return mixed(total)
+
+
+def shingles(texts: list[str], words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each text the sorted hashes of the distinct runs of ``words`` words, lower-cased, and how often each occurs.
+
+    They lie end to end; last is how many each text has. A shorter text is one shingle; a text
+    without words has none.
+    """
+    if len(texts) > _TEXTS:
+        parts = [shingles(texts[i : i + _TEXTS], words) for i in range(0, len(texts), _TEXTS)]
+        return tuple(np.concatenate(column) for column in zip(*parts))
+    marks = [list(map(xxhash.xxh3_64_digest, text.lower().encode().split())) for text in texts]
+    hashes = np.frombuffer(b"".join(map(b"".join, marks)), ">u8").astype(np.uint64)
+    sizes = np.fromiter(map(len, marks), np.int64, len(marks))
+    starts, runs = np.cumsum(sizes) - sizes, np.maximum(sizes - words + 1, np.minimum(sizes, 1))
+    found = np.zeros(runs.sum(), np.uint64)
+    every = _runs(hashes, words) if len(hashes) >= words else found[:0]
+    ends = np.cumsum(runs)
+    heads = np.zeros(len(found) + 1, bool)
+    heads[-1] = True
+    for start, size, n, end in zip(starts.tolist(), sizes.tolist(), runs.tolist(), ends.tolist()):
+        if n:
+            own = found[end - n : end]
+            own[:] = every[start : start + n] if size >= words else _runs(hashes[start : start + size], size)
+            own.sort()
+            heads[end - n] = True
+    heads[1:-1] |= found[1:] != found[:-1]
+    at = np.flatnonzero(heads)
+    distinct = np.diff(np.r_[0, np.searchsorted(at, ends)])
+    return found[at[:-1]], np.diff(at), distinct
 
 
 def idf(df: np.ndarray, n: int) -> np.ndarray:
@@ -151,15 +163,16 @@ def shared_sets(docs: DataFrame, words: int, least: float, bands: int, rows: int
 
     def send(frame: pd.DataFrame) -> pd.DataFrame:
         found = _texts(frame)
-        sets = [shingles(text, words)[0] for text in found]
-        sizes = [len(s) for s in sets]
-        hashes = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-        copies = np.repeat(np.fromiter(found.values(), np.int64, len(found)), sizes)
-        order = np.argsort(hashes >> shift)
-        keys, copies = (hashes >> shift)[order], copies[order]
-        heads = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
-        counts = np.add.reduceat(copies, heads).astype(np.uint32) if len(keys) else np.zeros(0, np.uint32)
-        keys = keys[heads]
+        hashes, _, sizes = shingles(list(found), words)
+        hashes >>= shift
+        copies = np.fromiter(found.values(), np.int64, len(found)) - 1
+        more, copies = np.repeat(copies > 0, sizes), np.repeat(copies, sizes)
+        more, copies = hashes[more], copies[more]
+        hashes.sort()
+        heads = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]]) if len(hashes) else np.zeros(0, np.int64)
+        keys, counts = hashes[heads], np.diff(np.r_[heads, len(hashes)])
+        np.add.at(counts, np.searchsorted(keys, more), copies)
+        counts = counts.astype(np.uint32)
         bucket = (keys >> np.uint64(_KEY)).astype(np.int64)
         cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True]) if len(keys) else [0]
         pieces = list(zip(cuts[:-1], cuts[1:]))
@@ -201,17 +214,18 @@ def shared_sets(docs: DataFrame, words: int, least: float, bands: int, rows: int
                 [_unpacked(k) | (np.uint64(b) << np.uint64(_KEY)) for k, b in zip(back["keys"], back["bucket"])]
             )
             dfs = np.concatenate([np.frombuffer(c, np.int64) for c in back["counts"]])
-            kept = []
-            for text in _texts(frame):
-                hashes, tf = shingles(text, words)
-                if not len(hashes):
-                    continue
+            kept, texts = [], list(_texts(frame))
+            for begin in range(0, len(texts), _TEXTS):
+                own = texts[begin : begin + _TEXTS]
+                hashes, tf, sizes = shingles(own, words)
                 at = np.searchsorted(known, hashes >> shift)
                 at[at == len(known)] = 0
                 hit = known[at] == hashes >> shift
                 weights = tf * idf(np.where(hit, dfs[at], 1), n)
-                if weights[hit].sum() >= least * weights.sum() * (1 - 1e-9):
-                    kept.append((text, hashes, weights.astype(np.float32)))
+                for text, size, end in zip(own, sizes, np.cumsum(sizes)):
+                    part = slice(end - size, end)
+                    if size and weights[part][hit[part]].sum() >= least * weights[part].sum() * (1 - 1e-9):
+                        kept.append((text, hashes[part].copy(), weights[part].astype(np.float32)))
             if kept:
                 starts = np.cumsum([0] + [len(h) for _, h, _ in kept[:-1]])
                 weights = np.concatenate([w for _, _, w in kept]).astype(np.float64)
@@ -279,30 +293,38 @@ def _across(members: DataFrame, buckets: DataFrame, sets: DataFrame, bands_rows:
     rest = rest.join(sets.select("mark", "signature", "keys", "hashes", "weights"), "mark")
     need = int(bands_rows * least * 0.6)
 
-    def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        signs = np.stack([np.frombuffer(s, np.uint32) for s in frame["signature"]])
-        band = int(frame["band"].iloc[0])
-        before = np.stack(frame["keys"].to_numpy())[:, :band]
-        hashes = [np.frombuffer(h, np.uint64) for h in frame["hashes"]]
-        weights = [np.frombuffer(w, np.float32).astype(np.float64) for w in frame["weights"]]
-        part = np.unique(frame["label"].to_numpy().astype(object), return_inverse=True)[1]
-        marks, chunk = frame["mark"].tolist(), frame["chunk"].to_numpy()
-        alone = frame["low"].iloc[0] == frame["high"].iloc[0]
+    def compare(table: pa.Table) -> pa.Table:
+        column = lambda name: table[name].combine_chunks()
+        signs = np.stack([np.frombuffer(s, np.uint32) for s in table["signature"].to_pylist()])
+        band = table["band"][0].as_py()
+        before = column("keys").flatten().to_numpy().reshape(len(signs), -1)[:, :band]
+        hashes, weights = column("hashes"), column("weights")
+        held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+        def set_of(i: int) -> tuple[np.ndarray, np.ndarray]:
+            if i not in held:
+                held[i] = np.frombuffer(hashes[i].as_buffer(), np.uint64), np.frombuffer(weights[i].as_buffer(), np.float32).astype(np.float64)
+            return held[i]
+
+        part = np.unique(np.array(table["label"].to_pylist(), object), return_inverse=True)[1]
+        marks, chunk = table["mark"].to_pylist(), column("chunk").to_numpy()
+        alone = table["low"][0].as_py() == table["high"][0].as_py()
         links = []
-        for i in range(len(frame)):
+        for i in range(len(signs)):
             js = i + 1 + np.flatnonzero((part[i + 1 :] != part[i]) & (alone | (chunk[i + 1 :] != chunk[i])))
             agree = (signs[js] == signs[i]).sum(1)
             js, agree = js[agree >= need], agree[agree >= need]
             first = ~(before[js] == before[i]).any(1)
-            for j in js[first][np.argsort(-agree[first], kind="stable")]:
+            for j in js[first][np.argsort(-agree[first], kind="stable")].tolist():
                 if part[j] != part[i]:
-                    s = weighted_jaccard(hashes[i], weights[i], hashes[j], weights[j])
+                    s = weighted_jaccard(*set_of(i), *set_of(j))
                     if s >= least:
                         links.append((min(marks[i], marks[j]), max(marks[i], marks[j]), s))
                         part[part == part[j]] = part[i]
-        return pd.DataFrame(links, columns=["a", "b", "similarity"]).astype({"a": object, "b": object, "similarity": float})
+        kinds = zip(("a", "b", "similarity"), (pa.string(), pa.string(), pa.float64()), list(zip(*links)) or [(), (), ()])
+        return pa.table({name: pa.array(values, kind) for name, kind, values in kinds})
 
-    found = rest.groupBy("band", "key", "low", "high").applyInPandas(compare, "a string, b string, similarity double")
+    found = rest.groupBy("band", "key", "low", "high").applyInArrow(compare, "a string, b string, similarity double")
     return found.dropDuplicates(["a", "b"])
 
 

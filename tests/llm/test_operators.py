@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import time
 import tracemalloc
 from collections import Counter
 
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tablewright.llm.attention import END, START, WINDOW, Attention, packed, train, unpacked, windows
-from tablewright.llm.common import permuted
+from tablewright.llm.common import permuted, stored
 from tablewright.llm.lm_scores import scored, words_of
 from tablewright.llm import lm_scores, posting_lists, weighted_minhash
 from tablewright.llm.mixing import mixed_documents, mixed_sources
@@ -120,6 +121,56 @@ def test_links_against_all_pairs(spark):
     assert len({top(i) for i in texts}) < n - 50 and not wrong
 
 
+def test_stored_rows_leave_no_shuffle_files(spark):
+    """A query's shuffle files are not kept until the driver collects garbage."""
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = disk.getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size())} - before
+
+    before = set()
+    before, kept = shuffled(), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    rows = spark.range(5000).groupBy((F.col("id") % 100).alias("k")).agg(F.collect_list("id").alias("ids"))
+    rows = stored(rows.repartition(3, "k"), "shuffled")
+    until = time.time() + 20
+    while time.time() < until and any(name.startswith("shuffle_") for name in shuffled()):
+        time.sleep(0.2)
+    assert not any(name.startswith("shuffle_") for name in shuffled())
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == kept
+    assert rows.select(F.explode("ids")).distinct().count() == 5000
+
+
+def test_shingles_of_many_texts_at_once():
+    rng = random.Random(6)
+    texts = ["", " ", "One", "a B c d", "x " * 40, *(" ".join(rng.choices("abc", k=rng.randrange(60))) for _ in range(200)), ""]
+    hashes, counts, sizes = weighted_minhash.shingles(texts, 3)
+    mark, ends = {}, np.cumsum(sizes)
+    for text, size, end in zip(texts, sizes, ends):
+        words = text.lower().split()
+        runs = Counter(tuple(words[i : i + 3]) for i in range(max(1, len(words) - 2))) if words else {}
+        own, n = hashes[end - size : end].tolist(), counts[end - size : end]
+        assert own == sorted(set(own)) and sorted(n) == sorted(runs.values())
+        for run in runs:  # a run alone is one shingle
+            mark[run] = mark.get(run) or weighted_minhash.shingles([" ".join(run)], 3)[0][0]
+        assert dict(zip(own, n)) == {mark[run]: k for run, k in runs.items()}
+    assert len(set(mark.values())) == len(mark) and not weighted_minhash.shingles([], 3)[0].size
+
+
+def test_small_groups_are_compared_without_pandas(spark):
+    """Most bands that texts share have a few members; a data frame for each cost more than the comparison."""
+    sets = "mark string, hashes binary, weights binary, signature binary, keys array<bigint>"
+    hashes, weights = [np.arange(k, k + 100, dtype=np.uint64) for k in (0, 1, 50)], np.ones(100, np.float32).tobytes()
+    signs = np.ones(12, np.uint32).tobytes()
+    rows = [(f"m{i}", h.tobytes(), weights, signs, [7, 7 if i else 8]) for i, h in enumerate(hashes)]
+    sets = spark.createDataFrame(rows, sets)
+    members = spark.createDataFrame([(0, 7, f"m{i}", f"m{i}") for i in range(3)], "band int, key bigint, mark string, label string")
+    buckets = spark.createDataFrame([(0, 7, 3, 3600)], "band int, key bigint, n bigint, bytes bigint")
+    found = weighted_minhash._across(members, buckets, sets, 12, 0.8)
+    assert [(r["a"], r["b"]) for r in found.collect()] == [("m0", "m1")]
+    assert "Pandas" not in found._jdf.queryExecution().toString()
+
+
 def test_repeated_passage_goes(docs):
     found = {r["doc_id"]: r["text"] for r in without_repeated_spans(docs).collect()}
     assert found[4] == PASSAGE and found[5] == "" and PASSAGE not in found[6] and "Other start" in found[6]
