@@ -601,3 +601,39 @@ def test_the_fit_needs_little_memory_beside_its_rows():
     p = 1 / (1 + np.exp(-(x @ w[:-1] + w[-1])))
     assert abs(w[0] - 1) < 0.1 and np.abs(x.T @ (y - p) - w[:-1]).max() < 1e-3
     assert peak < x.nbytes / 2
+
+
+def test_words_are_stored_once_a_batch_and_packs_are_given_back(spark, monkeypatch):
+    """Disk of the scores: one row for each word of a batch, however Arrow cuts the texts, and no windows after training."""
+    kept, made = lm_scores.stored, {}
+
+    def counted(df, label, *more):
+        rows = kept(df, label, *more)
+        made[label] = rows.count()
+        return rows
+
+    paths = []
+    monkeypatch.setattr(lm_scores, "stored", counted)
+    place = lm_scores.scratch
+    monkeypatch.setattr(lm_scores, "scratch", lambda *a: paths.append(place(*a)) or paths[-1])
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        texts = [f"alpha beta gamma {'odd' if i % 2 else 'even'}" for i in range(200)]
+        rows = scored(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), steps=5).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert len(rows) == 200 and all(r["n_known"] == 5 for r in rows)
+    assert made["lm-words"] <= 2 * 6  # two batches, five words and the end
+    assert len(paths) == 1 and spark.read.schema("key bigint").parquet(paths[0]).count() == 0
+
+
+def test_pieces_of_many_texts_are_those_of_each_word():
+    with open(VOCABULARY, "rb") as file:
+        coder = lm_scores.words(file.read())
+    texts = [["the", "of", "the"], [], ["unthinkable", "x" * 150, "the"], ["x" * 150]]
+    ids, begins, first, starts = lm_scores._laid(texts, coder)
+    plain = [[*(coder.ids(w).tolist() for w in t), [END]] for t in texts]
+    assert ids.tolist() == [i for t in plain for w in t for i in w]
+    assert np.split(ids, begins[1:])[5].tolist() == plain[2][0]
+    assert first.tolist() == [0, 4, 5, 9] and starts.tolist() == begins[first].tolist()
