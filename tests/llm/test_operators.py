@@ -3,6 +3,8 @@
 import hashlib
 import math
 import random
+import re
+import string
 import time
 import tracemalloc
 from collections import Counter
@@ -15,9 +17,9 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tablewright.llm.attention import END, START, WINDOW, Attention, packed, train, unpacked, windows
-from tablewright.llm.common import permuted, stored
+from tablewright.llm.common import WORD, permuted, stored
 from tablewright.llm.lm_scores import scored, words_of
-from tablewright.llm import lm_scores, posting_lists, weighted_minhash
+from tablewright.llm import attention, lm_scores, posting_lists, weighted_minhash
 from tablewright.llm.mixing import mixed_documents, mixed_sources
 from tablewright.llm.order_minhash import fingerprints, signature
 from tablewright.llm.pieces import decoded, encoded
@@ -637,3 +639,74 @@ def test_pieces_of_many_texts_are_those_of_each_word():
     assert ids.tolist() == [i for t in plain for w in t for i in w]
     assert np.split(ids, begins[1:])[5].tolist() == plain[2][0]
     assert first.tolist() == [0, 4, 5, 9] and starts.tolist() == begins[first].tolist()
+
+
+def test_words_are_split_as_by_the_pattern():
+    pattern, lower = re.compile(WORD), str.maketrans({c: c.lower() for c in string.ascii_uppercase})
+    parts = ["A", "É", "İ", "b.", " ", "\t", "\r\n", "\x0b", "\x1c", "\x1f", "\x85", "\xa0", "\u2003", "\u3000", "\ud800", "\udc00", "漢"]
+    rng = np.random.default_rng(4)
+    for n in rng.integers(0, 12, 2000):
+        text = "".join(rng.choice(parts, n))
+        assert words_of(text) == pattern.findall(text.translate(lower))
+
+
+def test_pieces_of_odd_words_are_those_of_each_word(monkeypatch):
+    """Words that are encoded in one call have the pieces that each has by itself, also where the pattern sees white space in them."""
+    with open(VOCABULARY, "rb") as file:
+        coder = attention.Words(file.read())
+    plain = lambda w: [*coder.coder.encode_ordinary(w)]
+    parts = ["the", "ing", "é", "漢", "'s", "'S", "12", "<", "|", "\xa0", "\u2003", "\x85", "\x1c", "\ud800", "x" * 120]
+    rng = np.random.default_rng(5)
+    for kept in (attention._KEPT, 3):  # with and without what was looked up before
+        monkeypatch.setattr(attention, "_KEPT", kept)
+        for _ in range(200):
+            texts = [["".join(rng.choice(parts, rng.integers(1, 5))) for _ in range(rng.integers(0, 6))] for _ in range(3)]
+            ids, begins, first, starts = lm_scores._laid(texts, coder)
+            want = [[*p[:-1], p[-1] + attention._LAST] if w is not None else [END] for t in texts for w in [*t, None] for p in [plain(w) if w is not None else []]]
+            assert ids.tolist() == [i for w in want for i in w]
+            assert begins.tolist() == np.cumsum([0, *map(len, want)])[:-1].tolist() and starts.tolist() == begins[first].tolist()
+
+
+def test_new_words_are_encoded_in_one_call():
+    with open(VOCABULARY, "rb") as file:
+        coder = attention.Words(file.read())
+    inner, calls = coder.coder, []
+
+    class Counted:
+        def __getattr__(self, name):
+            return lambda *a, **b: calls.append(name) or getattr(inner, name)(*a, **b)
+
+    coder.coder = Counted()
+    lm_scores._laid([[f"word{i}" for i in range(1_000)]] * 3, coder)
+    lm_scores._laid([[f"word{i}" for i in range(500, 1_500)]], coder)
+    assert len(calls) <= 2
+
+
+def test_a_training_step_makes_its_tables_once():
+    fit = attention.Fit.fresh(np.ones(attention.SIZE))
+    x, y = np.zeros((2, 1, WINDOW), np.int64)
+    tracemalloc.start()
+    fit.step(x, y, x == 0, 1, 10)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1.5 * sum(t.nbytes for t in fit.model.p.values())
+
+
+@pytest.mark.parametrize("width", [7, 8])
+def test_a_training_step_is_that_of_its_definition(width):
+    """Adam on the mean loss, in single precision, slice by slice as well as at once."""
+    rng = np.random.default_rng(8)
+    fit = attention.Fit.fresh(np.ones(attention.SIZE), width)
+    first, second = ({n: np.zeros_like(v) for n, v in fit.model.p.items()} for _ in range(2))
+    for t in (1, 2, 60):
+        x, y = rng.integers(0, 4_000, (2, 5, WINDOW))
+        use = rng.random((5, WINDOW)) < 0.8
+        want = {n: v.copy() for n, v in fit.model.p.items()}
+        grads = fit.model.step(x, y, use)[1]
+        rate = np.float32(5e-3 * min(1, t / 50) * (1 - 0.9 * t / 100))
+        for n, g in grads.items():
+            first[n] += 0.1 * (g - first[n])
+            second[n] += 0.01 * (g * g - second[n])
+            want[n] -= rate * (first[n] / (1 - 0.9**t)) / (np.sqrt(second[n] / (1 - 0.99**t)) + 1e-8)
+        fit.step(x, y, use, t, 100)
+        assert all(np.array_equal(fit.model.p[n], want[n]) for n in want)
